@@ -11,8 +11,10 @@ from cohortmill.functions import dates
 from cohortmill.functions.ratios import value_model
 from cohortmill.operators import coefficients as coef
 from cohortmill.operators import curve, fallback, hierarchy, ledger, measures, outliers, regression, values
-from cohortmill.schema import COMPUTE_COLS, DIMENSIONS, MEASURES, MONTHS, REFER_COLS
+from cohortmill.plans.jobs import ChannelValues, SuffixValues
+from cohortmill.schema import COMPUTE_COLS, DIMENSIONS
 from cohortmill.sources import fixtures as fx
+from cohortmill.sources.checkpoints import written
 from cohortmill.sources.sinks import rounded
 from cohortmill.sources.tables import profit_rows
 
@@ -35,8 +37,13 @@ def _sum(spark: SparkSession, sf: str) -> DataFrame:
     return profit_rows(fx.channel_sum(spark, sf))
 
 
-def _rolled(spark: SparkSession, sf: str) -> DataFrame:
-    return hierarchy.promoted_rollup(_base(spark, sf))
+def _channel(spark: SparkSession, sf: str, floor=None) -> ChannelValues:
+    """The input is derived here and used twice, so it is written first, as the table it stands for."""
+    return ChannelValues(written(_base(spark, sf)), WINDOWS, floor)
+
+
+def _suffix(spark: SparkSession, sf: str) -> SuffixValues:
+    return SuffixValues(written(_sum(spark, sf)), WINDOWS, fx.MIN_REG, floor=None)
 
 
 def _days():
@@ -131,7 +138,8 @@ def suffix_grouping_sets(spark, sf):
 
 
 def hierarchy_rollup(spark, sf):
-    return rounded(_rolled(spark, sf).drop(hierarchy.LEVEL))
+    rolled = hierarchy.promoted_rollup(written(_base(spark, sf)))
+    return rounded(rolled.drop(hierarchy.LEVEL))
 
 
 # Coefficients
@@ -155,7 +163,7 @@ def ols_by_channel(spark, sf):
 
 
 def _coef_v1(spark, sf, floor=None):
-    return coef.channel_coefficients(_rolled(spark, sf), WINDOWS, floor)
+    return coef.channel_coefficients(_channel(spark, sf).rolled, WINDOWS, floor)
 
 
 def _coef_v2(spark, sf):
@@ -188,49 +196,37 @@ def coef_v2_ad(spark, sf):
 
 
 def coef_repair(spark, sf):
-    return rounded(coef.repaired(_coef_v1(spark, sf)))
+    return rounded(_channel(spark, sf).repaired)
 
 
 def coef_fallback_v1(spark, sf):
-    rolled = _rolled(spark, sf)
-    table = coef.repaired(coef.channel_coefficients(rolled, WINDOWS))
-    return rounded(fallback.channel_fallback(values.channel_cohort(rolled, WINDOWS), table))
+    job = _channel(spark, sf)
+    return rounded(fallback.channel_fallback(values.channel_cohort(job.rolled, WINDOWS), job.repaired))
 
 
 def coef_fallback_v2(spark, sf):
-    rows = _sum(spark, sf)
-    cohort = rows.where(WINDOWS.cohort.holds(F.col("ds")))
-    return rounded(fallback.suffix_fallback(cohort, coef.suffix_coefficients(rows, WINDOWS, fx.MIN_REG)))
+    job = _suffix(spark, sf)
+    cohort = job.rows.where(WINDOWS.cohort.holds(F.col("ds")))
+    return rounded(fallback.suffix_fallback(cohort, job.coefs))
 
 
 # Values and reports
 
 
-def _values_v1(spark, sf):
-    rolled = _rolled(spark, sf)
-    table = coef.repaired(coef.channel_coefficients(rolled, WINDOWS))
-    return values.channel_values(rolled, table, WINDOWS)
-
-
-def _values_v2(spark, sf):
-    rows = _sum(spark, sf)
-    return values.suffix_values(rows, coef.suffix_coefficients(rows, WINDOWS, fx.MIN_REG), WINDOWS)
-
-
 def user_value_v1(spark, sf):
-    return rounded(_values_v1(spark, sf))
+    return rounded(_channel(spark, sf).values)
 
 
 def user_value_v2(spark, sf):
-    return rounded(_values_v2(spark, sf))
+    return rounded(_suffix(spark, sf).values)
 
 
 def report_three_types(spark, sf):
-    return rounded(values.channel_report(_values_v1(spark, sf)))
+    return rounded(_channel(spark, sf).report)
 
 
 def report_three_types_v2(spark, sf):
-    return rounded(values.suffix_report(_values_v2(spark, sf)))
+    return rounded(_suffix(spark, sf).report)
 
 
 # Curve

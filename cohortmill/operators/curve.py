@@ -35,7 +35,7 @@ def curve_months(base: DataFrame, days: Column) -> DataFrame:
 
 def curve_mean(base: DataFrame, days: Column) -> DataFrame:
     """Unweighted mean over registration months, nulls skipped."""
-    means = [F.avg(f"m{n}").alias(f"m{n}") for n in MONTHS]
+    means = [F.expr(f"avg(m{n}) AS m{n}") for n in MONTHS]
     return curve_months(base, days).groupBy("channel_category").agg(*means)
 
 
@@ -87,7 +87,7 @@ def exp_fit(means: DataFrame) -> DataFrame:
 
     Works on the one row of each category, so it needs no shuffle. Always yields the best grid point.
     """
-    months = F.array(*[F.coalesce(f"m{n}", F.lit(0.0)) for n in MONTHS])
+    months = F.expr(f"array({', '.join(f'coalesce(m{n}, 0D)' for n in MONTHS)})")
     fitted = means.withColumn("_points", months)
     first = F.sequence(*[F.lit(bound) for bound in FIRST_GRID])
     fitted = fitted.withColumn("_best", _grid_best(F.col("_points"), first))
@@ -109,16 +109,13 @@ def margin_share(base: DataFrame, days: Column, tail_offset: int = 1) -> DataFra
     Months 1 to 30 are observed, 31 to 36 fitted. The fit counts month 1 as x = 0; the tail reads month n
     at ``x = n - 1 + tail_offset``, one month late by default. Shares are null without a first-year margin.
     """
-    first_year = F.lit(0.0)
-    for n in MONTHS[:12]:
-        first_year = first_year + F.col(f"m{n}")
-    observed = [F.try_divide(F.col(f"m{n}"), F.col("_year")).alias(f"r_m{n}") for n in OBSERVED_MONTHS]
+    first_year = " + ".join(f"m{n}" for n in MONTHS[:12])
+    observed = [f"try_divide(m{n}, _year) AS r_m{n}" for n in OBSERVED_MONTHS]
     fitted = [
-        F.try_divide(
-            exp_curve(F.lit(float(int(n) - 1 + tail_offset)), F.col("a"), F.col("b"), F.col("c")),
-            F.col("_year"),
-        ).alias(f"r_m{n}")
+        exp_curve(F.lit(float(int(n) - 1 + tail_offset)), F.col("a"), F.col("b"), F.col("c")).alias(f"f{n}")
         for n in FITTED_MONTHS
     ]
-    shares = exp_fit(curve_mean(base, days)).withColumn("_year", first_year)
-    return shares.select("channel_category", *observed, *fitted)
+    curves = exp_fit(curve_mean(base, days)).select("*", F.expr(f"{first_year} AS _year"), *fitted)
+    return curves.selectExpr(
+        "channel_category", *observed, *[f"try_divide(f{n}, _year) AS r_m{n}" for n in FITTED_MONTHS]
+    )

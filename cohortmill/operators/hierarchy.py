@@ -7,12 +7,23 @@ from pyspark.sql import functions as F
 
 from cohortmill.functions.dates import DateWindow
 from cohortmill.functions.levels import coarse_first_levels
+from cohortmill.operators.measures import totals
 from cohortmill.schema import COMPUTE_COLS, DIMENSIONS, HIERARCHY, MEASURES, REFER_COLS, ROLLED_UP
 
 # Level of a rolled row: 0 base row, 1 referred class, 2 category, 3 department, 4 all.
 LEVEL = "rollup_level"
 
 
+def _marks(keys: list[str]) -> list[Column]:
+    """Per key, whether a grouping set has rolled it up."""
+    return [F.expr(f"grouping({name}) AS _rolled_{name}") for name in keys]
+
+
+def _own_keys_present(keys: list[str]) -> str:
+    """A level leaves out rows whose own keys are null."""
+    return " AND ".join(f"(_rolled_{name} = 1 OR {name} IS NOT NULL)" for name in keys)
+
+
 def promoted_rollup(base: DataFrame, dedupe: str = "rows") -> DataFrame:
     """Base rows together with their roll-ups, labels promoted one level down.
 
@@ -24,7 +35,7 @@ def promoted_rollup(base: DataFrame, dedupe: str = "rows") -> DataFrame:
     only, so that a roll-up equal to its base row does not count twice. ``rollup_level`` tells the
     finest level a row came from.
     """
-    klass, klass_refer = HIERARCHY[0]
+    klass_refer = HIERARCHY[0][1]
     tails = []
     for start in range(1, len(HIERARCHY)):
         tails.append([name for pair in HIERARCHY[start:] for name in pair])
@@ -32,37 +43,27 @@ def promoted_rollup(base: DataFrame, dedupe: str = "rows") -> DataFrame:
     sets = [[*labels, "type", "ds"] for labels in sets]
     rollup_keys = sets[0]
 
-    grouped = base.groupingSets([[F.col(n) for n in names] for names in sets], *[F.col(n) for n in rollup_keys])
-    totals = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in MEASURES]
-    marks = [F.grouping(name).alias(f"_rolled_{name}") for name in rollup_keys[:-2]]
-    rolled = grouped.agg(*totals, *marks)
-
-    def is_rolled(name: str) -> Column:
-        return F.col(f"_rolled_{name}") == 1
+    rolled = base.groupingSets(sets, *rollup_keys).agg(*totals(MEASURES), *_marks(rollup_keys[:-2]))
 
-    for name in rollup_keys:
-        own = F.col(name).isNotNull()
-        rolled = rolled.where(own if name in ("type", "ds") else is_rolled(name) | own)
+    rolled = rolled.where(_own_keys_present(rollup_keys[:-2]) + " AND type IS NOT NULL AND ds IS NOT NULL")
 
-    level = F.lit(1)
+    level = "1"
     for depth, (_, refer) in enumerate(HIERARCHY[:-1], start=2):
-        level = F.when(is_rolled(refer), depth).otherwise(level)
+        level = f"CASE WHEN _rolled_{refer} = 1 THEN {depth} ELSE {level} END"
 
     # A rolled-up label takes the label of the next coarser level that is still present.
     labels = {}
     for side in (0, 1):
-        promoted = F.col(HIERARCHY[-1][side])
-        labels[HIERARCHY[-1][side]] = promoted
+        promoted = labels[HIERARCHY[-1][side]] = HIERARCHY[-1][side]
         for pair in reversed(HIERARCHY[1:-1]):
-            promoted = F.when(is_rolled(pair[side]), promoted).otherwise(F.col(pair[side]))
-            labels[pair[side]] = promoted
-        coarser = promoted
-        if side == 1:
-            labels[klass_refer] = F.when(is_rolled(klass_refer), coarser).otherwise(F.col(klass_refer))
-        else:
-            labels[klass] = F.when(is_rolled(klass_refer), coarser).otherwise(F.col(klass_refer))
-
-    rollups = rolled.select("type", "ds", *[c.alias(n) for n, c in labels.items()], *MEASURES, level.alias(LEVEL))
+            name = pair[side]
+            promoted = labels[name] = f"CASE WHEN _rolled_{name} = 1 THEN {promoted} ELSE {name} END"
+        name = HIERARCHY[0][side]
+        labels[name] = f"CASE WHEN _rolled_{klass_refer} = 1 THEN {promoted} ELSE {klass_refer} END"
+
+    rollups = rolled.selectExpr(
+        "type", "ds", *[f"{label} AS {name}" for name, label in labels.items()], *MEASURES, f"{level} AS {LEVEL}"
+    )
     rows = base.withColumn(LEVEL, F.lit(0)).unionByName(rollups, allowMissingColumns=True)
     if dedupe == "rows":
         return rows.groupBy(*base.columns).agg(F.min(LEVEL).alias(LEVEL))
@@ -81,22 +82,13 @@ def suffix_daily(rows: DataFrame, dims: list[str] = DIMENSIONS) -> DataFrame:
     grand total is a level. A level leaves out rows whose own keys are null.
     """
     kept = dims[1:]
-    sets = [[F.col(n) for n in ["type", "ds", *level]] for level in coarse_first_levels(dims)]
-    totals = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in MEASURES]
-    marks = [F.grouping(name).alias(f"_rolled_{name}") for name in kept]
-    daily = rows.groupingSets(sets, *[F.col(n) for n in ["type", "ds", *kept]]).agg(*totals, *marks)
-
-    def is_rolled(name: str) -> Column:
-        return F.col(f"_rolled_{name}") == 1
-
-    present = F.col("type").isNotNull() & F.col("ds").isNotNull()
-    level = F.lit(0)
-    for name in kept:
-        present = present & (is_rolled(name) | F.col(name).isNotNull())
-        level = level + F.when(is_rolled(name), 0).otherwise(1)
-    labels = [F.lit(ROLLED_UP).alias(dims[0])]
-    labels += [F.when(is_rolled(name), F.lit(ROLLED_UP)).otherwise(F.col(name)).alias(name) for name in kept]
-    return daily.where(present).select("type", level.alias("level"), *labels, "ds", *MEASURES)
+    sets = [["type", "ds", *level] for level in coarse_first_levels(dims)]
+    daily = rows.groupingSets(sets, "type", "ds", *kept).agg(*totals(MEASURES), *_marks(kept))
+    level = " + ".join(f"cast(1 - _rolled_{name} as int)" for name in kept)
+    labels = [f"CASE WHEN _rolled_{name} = 1 THEN '{ROLLED_UP}' ELSE {name} END AS {name}" for name in kept]
+    return daily.where(_own_keys_present(kept) + " AND type IS NOT NULL AND ds IS NOT NULL").selectExpr(
+        "type", f"{level} AS level", f"'{ROLLED_UP}' AS {dims[0]}", *labels, "ds", *MEASURES
+    )
 
 
 def seen_in(df: DataFrame, keys: list[str], window: DateWindow) -> DataFrame:

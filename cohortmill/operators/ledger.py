@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortmill.operators.running import RADIX_BITS, heavy_keys, running_totals
-from cohortmill.sources.checkpoints import checkpointed
+from cohortmill.sources.checkpoints import written
 
 USER = "user_id"
 INCOME, PAYOUT = 0, 1
@@ -196,12 +196,12 @@ def _heavy_pieces(entries: DataFrame, order: str, sizes: Sizes) -> DataFrame:
     over the chunks alone gives segments of the axis on which one income chunk meets one payout chunk;
     there are at most as many as chunks. Rows are handed out to the segments, cut at their ends, and each
     segment is swept by itself. A zero income has no length to hand out and takes the payout of the
-    neighbouring income instead. Positions and segments are used several times, so they are checkpointed.
+    neighbouring income instead. Positions and segments are used several times, so they are written out.
     """
     totals = {"hi": F.col("cents"), "rank": F.when(F.col("cents") > 0, 1).otherwise(0)}
     radix = ["_o1"] if order == "seq" else ["_o1", "_o2"]
     placed = running_totals(entries, [USER, "side"], radix, totals, ties=["_o2"], bits=sizes.radix_bits)
-    placed = checkpointed(
+    placed = written(
         placed.withColumns(
             {
                 "lo": F.col("hi") - F.col("cents"),
@@ -222,7 +222,7 @@ def _heavy_pieces(entries: DataFrame, order: str, sizes: Sizes) -> DataFrame:
     spans = chunk_spans(solid, INCOME, "_income_chunk", "income").unionByName(
         chunk_spans(payouts, PAYOUT, "_payout_chunk", "payout"), allowMissingColumns=True
     )
-    segments = checkpointed(
+    segments = written(
         _sweep(spans, [USER], order, F.lit(0).cast("bigint")).select(
             USER, "income._income_chunk", "payout._payout_chunk", "_from", "_to"
         )

@@ -12,16 +12,17 @@ from cohortmill.schema import MEASURES, MONTH_PROFITS, MONTHS
 
 def keyed(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose keys are all present; group-sums leave the others out."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(key).isNotNull()
-    return df.where(condition)
+    return df.where(" AND ".join(f"{key} IS NOT NULL" for key in keys))
+
+
+def totals(measures: list[str]) -> list[Column]:
+    """Sum of each measure under its own name; a sum over nothing but nulls is 0."""
+    return [F.expr(f"coalesce(sum({name}), 0) AS {name}") for name in measures]
 
 
 def sums(df: DataFrame, keys: list[str], measures: list[str] = MEASURES) -> DataFrame:
-    """Sums of the measures per key; a sum over nothing but nulls is 0."""
-    totals = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in measures]
-    return keyed(df, keys).groupBy(*keys).agg(*totals)
+    """Sums of the measures per key."""
+    return keyed(df, keys).groupBy(*keys).agg(*totals(measures))
 
 
 def with_per_head(df: DataFrame) -> DataFrame:
@@ -38,7 +39,8 @@ def with_per_head(df: DataFrame) -> DataFrame:
 
 def sum_in(window: DateWindow, name: str) -> Column:
     """Sum of a measure over the days of a window; 0 without such days."""
-    return F.coalesce(F.sum(F.when(window.holds(F.col("ds")), F.col(name))), F.lit(0))
+    inside = f"ds BETWEEN DATE '{window.lo}' AND DATE '{window.hi}'"
+    return F.expr(f"coalesce(sum(CASE WHEN {inside} THEN {name} END), 0)")
 
 
 def window_totals(df: DataFrame, keys: list[str], windows: ReferenceWindows) -> DataFrame:
@@ -62,5 +64,5 @@ def monthly_per_head(df: DataFrame, key: str, days: Column) -> DataFrame:
         [key, "month"],
         ["reg_user_cnt", *MONTH_PROFITS],
     )
-    ratios = [per_head(F.col(f"profit_m{n}"), F.col("reg_user_cnt")).alias(f"m{n}") for n in MONTHS]
-    return monthly.select(key, "month", *ratios)
+    ratios = [f"try_divide(profit_m{n}, cast(reg_user_cnt as double)) AS m{n}" for n in MONTHS]
+    return monthly.selectExpr(key, "month", *ratios)

@@ -1,25 +1,33 @@
-"""Reliable checkpoints in the folder the cluster names."""
+"""Intermediate tables in the shared folder the cluster names.
+
+A table used by several later steps is written once, so that later steps neither repeat the work nor
+carry its plan, and survive lost executors. Parquet keeps column pruning and filters for the readers.
+"""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _prepare(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, or the session's checkpoint folder, or a local one in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="checkpoint-")
-    context.setCheckpointDir(folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="cohortmill-"))
+    return context.getCheckpointDir()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows, written once; later steps start from the files and survive lost executors."""
-    _prepare(df.sparkSession)
-    return df.checkpoint()
+def written(df: DataFrame) -> DataFrame:
+    """The rows, written once and read back."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -16,6 +16,8 @@ LINE_TYPES = ["e_supplier_profit", "ad_profit", "licai_order_profit"]
 FIRST_DAY = dt.date(2000, 1, 1)
 # A power of two: sums of multiples of 1 / PROFIT_SCALE are exact in a double, whatever their order.
 PROFIT_SCALE = float(2**23)
+# Slots of the long form: 0 to 35 hold the months, then these.
+D07, IS_PROFIT, REG = 36, 37, 38
 
 RUN_DAY = dt.date(2001, 4, 14)
 WINDOWS = ReferenceWindows.for_run("daily", RUN_DAY)
@@ -24,121 +26,129 @@ FLOOR = DateWindow(dt.date(2000, 4, 1), dt.date(2000, 5, 1))
 MIN_REG = 3
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+# Columns used here; with a schema given, reading needs no look at the files first.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_orderdate TIMESTAMP_NTZ, "
+    "o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE",
+}
 
 
-def _line_type() -> Column:
-    key = F.col("l_suppkey") % 3
-    return F.when(key == 0, LINE_TYPES[0]).when(key == 1, LINE_TYPES[1]).otherwise(LINE_TYPES[2])
+def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _line_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profit sums per (order, type), in integer units.
+def _line_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts per (order, type, lag) as ``(slot, amount)`` rows, in integer units.
 
-    One row per key leaves the pre-aggregated shuffle, so an order with very many lines stays harmless in
-    the join that follows on the same key.
+    Pre-aggregated before the join by order, so an order with very many lines stays harmless. All of the
+    seven-day profit has lag 0, so the lag-0 row of an order decides whether it is profitable.
     """
-    units = (
-        F.round(F.col("l_extendedprice") * 100).cast("bigint")
-        * F.round((1 - F.col("l_discount")) * 100).cast("bigint")
-    )
-    lag = F.expr("((l_partkey % 36) * (l_suppkey % 36)) div 36")
-    lines = _read(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"),
-        _line_type().alias("type"),
-        lag.alias("lag"),
+    lines = _read(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS o_orderkey",
+        f"element_at(array({', '.join(map(repr, LINE_TYPES))}), cast(l_suppkey % 3 + 1 as int)) AS type",
+        "cast(((l_partkey % 36) * (l_suppkey % 36)) div 36 as int) AS lag",
         "l_linenumber",
-        units.alias("units"),
+        "cast(round(l_extendedprice * 100) as bigint) * cast(round((1 - l_discount) * 100) as bigint) AS units",
+    )
+    sums = lines.groupBy("o_orderkey", "type", "lag").agg(
+        F.expr("sum(units) AS units"),
+        F.expr("coalesce(sum(CASE WHEN lag = 0 AND l_linenumber <= 2 THEN units END), 0) AS d07"),
+    )
+    month, purchase = (
+        "array(named_struct('slot', lag, 'amount', units))",
+        f"array(named_struct('slot', {D07}, 'amount', d07), "
+        f"named_struct('slot', {IS_PROFIT}, 'amount', cast(d07 > 0 as bigint)))",
+    )
+    return sums.selectExpr(
+        "o_orderkey", "type", f"inline(CASE WHEN lag = 0 THEN concat({month}, {purchase}) ELSE {month} END)"
     )
-
-    def total(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("units"))), F.lit(0))
-
-    at = F.col("lag")
-    sums = {
-        "profit_d07": total((at == 0) & (F.col("l_linenumber") <= 2)),
-        "profit_y01": total(at < 12),
-        "profit_pm08": total(at < 8),
-        "profit_mm03": total(at.between(5, 7)),
-    }
-    sums |= {f"profit_m{month}": total(at == n) for n, month in enumerate(MONTHS)}
-    return lines.groupBy("o_orderkey", "type").agg(*[c.alias(n) for n, c in sums.items()])
 
 
 def _registrants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (order, type): an order is a registrant, valued once per profit type."""
+    """One row per order: an order is a registrant."""
     # nation and region are fixed lists (25 and 5 rows), so broadcasting them is safe at any scale.
     places = _read(spark, sf_dir, "nation").join(
-        F.broadcast(_read(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey")
+        F.broadcast(_read(spark, sf_dir, "region")), F.expr("n_regionkey = r_regionkey")
     )
-    customers = _read(spark, sf_dir, "customer").join(
-        F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    orders = _read(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        "o_custkey",
-        "o_orderstatus",
-        "o_orderpriority",
-        F.date_add(F.lit(FIRST_DAY), (F.col("o_orderkey") % 480).cast("int")).alias("ds"),
-    )
-    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+    customers = _read(spark, sf_dir, "customer").join(F.broadcast(places), F.expr("c_nationkey = n_nationkey"))
+    orders = _read(spark, sf_dir, "orders")
+    return orders.join(customers, F.expr("o_custkey = c_custkey")).selectExpr(
         "o_orderkey",
-        "ds",
+        f"date_add(DATE '{FIRST_DAY}', cast(o_orderkey % 480 as int)) AS ds",
         "r_name",
         "n_name",
         "c_mktsegment",
         "o_orderstatus",
         "o_orderpriority",
-        (F.col("o_custkey") % 3).alias("source"),
-        F.explode(F.array(*[F.lit(name) for name in LINE_TYPES])).alias("type"),
+        "o_custkey % 3 AS source",
     )
 
 
-def _profits_by(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
-    rows = _registrants(spark, sf_dir).join(_line_sums(spark, sf_dir), ["o_orderkey", "type"], "left")
-    profits = ["profit_d07", "profit_y01", "profit_pm08", "profit_mm03"] + [f"profit_m{m}" for m in MONTHS]
-    return rows.groupBy("type", "ds", *keys).agg(
-        F.count("*").alias("reg_user_cnt"),
-        F.sum(F.when(F.col("profit_d07") > 0, 1).otherwise(0)).alias("isprofit_d07_cnt"),
-        *[(F.coalesce(F.sum(name), F.lit(0)) / F.lit(PROFIT_SCALE)).alias(name) for name in profits],
+def _profits_by(spark: SparkSession, sf_dir: str, keys: list[str], labels: dict[str, str]) -> DataFrame:
+    """Measures per (type, day, keys): summed in long form, then turned wide.
+
+    Every registrant counts once per profit type, with or without lines of that type.
+    """
+    registrants = _registrants(spark, sf_dir)
+    grain = ["type", "ds", *keys]
+    counted = registrants.selectExpr(
+        "ds", *keys, f"explode(array({', '.join(map(repr, LINE_TYPES))})) AS type", f"{REG} AS slot", "1L AS amount"
     )
+    earned = registrants.join(_line_amounts(spark, sf_dir), "o_orderkey").select(*counted.columns)
+    long = counted.unionByName(earned).groupBy(*grain, "slot").agg(F.expr("sum(amount) AS amount"))
+    wide = long.groupBy(*grain).pivot("slot", list(range(REG + 1))).agg(F.expr("first(amount)"))
+
+    def profit(slots: range | list[int]) -> str:
+        return f"({' + '.join(f'coalesce(`{slot}`, 0L)' for slot in slots)}) / {PROFIT_SCALE}D"
+
+    measures = {
+        "reg_user_cnt": f"`{REG}`",
+        "isprofit_d07_cnt": f"coalesce(`{IS_PROFIT}`, 0L)",
+        "profit_d07": profit([D07]),
+        "profit_y01": profit(range(12)),
+        "profit_pm08": profit(range(8)),
+        "profit_mm03": profit(range(5, 8)),
+    }
+    measures |= {f"profit_m{month}": profit([n]) for n, month in enumerate(MONTHS)}
+    columns = labels | measures
+    return wide.selectExpr("type", "ds", *[f"{column} AS {name}" for name, column in columns.items()])
 
 
 def base_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Input of the four-level value job and of the margin curve."""
-    category = F.concat_ws("|", "r_name", "c_mktsegment")
-    status = F.col("o_orderstatus")
-    refer_status = F.when(status == "P", "O").otherwise(status)
-    rows = _profits_by(spark, sf_dir, "r_name", "c_mktsegment", "o_orderstatus")
+    category = "concat_ws('|', r_name, c_mktsegment)"
+    refer_status = "CASE WHEN o_orderstatus = 'P' THEN 'O' ELSE o_orderstatus END"
     labels = {
-        "channel_class": F.concat_ws("|", category, status),
-        "channel_class_value_refer": F.concat_ws("|", category, refer_status),
+        "channel_class": f"concat_ws('|', {category}, o_orderstatus)",
+        "channel_class_value_refer": f"concat_ws('|', {category}, {refer_status})",
         "channel_category": category,
         "channel_category_value_refer": category,
-        "channel_department": F.col("r_name"),
-        "channel_department_value_refer": F.col("r_name"),
-        "all_compute": F.lit("ALL"),
-        "all_refer": F.lit("ALL"),
+        "channel_department": "r_name",
+        "channel_department_value_refer": "r_name",
+        "all_compute": "'ALL'",
+        "all_refer": "'ALL'",
     }
-    measures = [n for n in rows.columns if n not in ("r_name", "c_mktsegment", "o_orderstatus", "type", "ds")]
-    return rows.select("type", "ds", *[c.alias(n) for n, c in labels.items()], *measures)
+    return _profits_by(spark, sf_dir, ["r_name", "c_mktsegment", "o_orderstatus"], labels)
 
 
 def channel_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Input of the six-dimension value job."""
-    dims = {
-        "ora_source": F.concat(F.lit("SRC"), F.col("source").cast("string")),
-        "ora_channel": F.col("n_name"),
-        "ora_activity_type": F.col("o_orderpriority"),
-        "ora_parent_channel": F.col("o_orderstatus"),
-        "ora_channel_type": F.col("c_mktsegment"),
-        "ora_business_type": F.col("r_name"),
+    labels = {
+        "ora_source": "concat('SRC', source)",
+        "ora_channel": "n_name",
+        "ora_activity_type": "o_orderpriority",
+        "ora_parent_channel": "o_orderstatus",
+        "ora_channel_type": "c_mktsegment",
+        "ora_business_type": "r_name",
     }
     keys = ["source", "n_name", "o_orderpriority", "o_orderstatus", "c_mktsegment", "r_name"]
-    rows = _profits_by(spark, sf_dir, *keys)
-    measures = [n for n in rows.columns if n not in keys + ["type", "ds"]]
-    return rows.select("type", "ds", *[c.alias(n) for n, c in dims.items()], *measures)
+    return _profits_by(spark, sf_dir, keys, labels)
 
 
 def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:

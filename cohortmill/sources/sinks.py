@@ -12,13 +12,12 @@ RESULT_DECIMALS = 4
 
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles rounded to the decimals of a result table."""
-    return df.withColumns(
-        {
-            field.name: F.round(field.name, RESULT_DECIMALS)
-            for field in df.schema.fields
-            if isinstance(field.dataType, T.DoubleType)
-        }
-    )
+    columns = []
+    for field in df.schema.fields:
+        name = f"`{field.name}`"
+        double = isinstance(field.dataType, T.DoubleType)
+        columns.append(f"round({name}, {RESULT_DECIMALS}) AS {name}" if double else name)
+    return df.selectExpr(*columns)
 
 
 def _one_partition(df: DataFrame, freq_type: str, ds: str) -> DataFrame:

@@ -56,7 +56,12 @@ def profit_rows(base: DataFrame, types: list[str] | None = None, channel: str |
     rows = base.where(has_day & F.col("type").isin(types or PROFIT_TYPES))
     if channel is not None:
         rows = rows.where(F.col("channel_class") == channel)
-    casts = {name: F.col(name).cast("bigint") for name in COUNT_MEASURES}
-    casts |= {name: F.col(name).cast("double") for name in PROFIT_MEASURES + MONTH_PROFITS}
-    casts["ds"] = F.col("ds").cast("date")
-    return rows.withColumns({name: cast for name, cast in casts.items() if name in base.columns})
+    wanted = {name: T.LongType() for name in COUNT_MEASURES}
+    wanted |= {name: T.DoubleType() for name in PROFIT_MEASURES + MONTH_PROFITS}
+    wanted["ds"] = T.DateType()
+    casts = {
+        field.name: F.col(field.name).cast(wanted[field.name])
+        for field in rows.schema.fields
+        if field.name in wanted and field.dataType != wanted[field.name]
+    }
+    return rows.withColumns(casts) if casts else rows
