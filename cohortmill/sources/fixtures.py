@@ -16,7 +16,7 @@ LINE_TYPES = ["e_supplier_profit", "ad_profit", "licai_order_profit"]
 FIRST_DAY = dt.date(2000, 1, 1)
 # A power of two: sums of multiples of 1 / PROFIT_SCALE are exact in a double, whatever their order.
 PROFIT_SCALE = float(2**23)
-# Slots of the long form: 0 to 35 hold the months, then these.
+# Slots of an amount: 0 to 35 are the months, then these.
 D07, IS_PROFIT, REG = 36, 37, 38
 
 RUN_DAY = dt.date(2001, 4, 14)
@@ -91,33 +91,31 @@ def _registrants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _profits_by(spark: SparkSession, sf_dir: str, keys: list[str], labels: dict[str, str]) -> DataFrame:
-    """Measures per (type, day, keys): summed in long form, then turned wide.
+    """Measures per (type, day, keys) from the slots; a query sums only the measures it uses.
 
     Every registrant counts once per profit type, with or without lines of that type.
     """
     registrants = _registrants(spark, sf_dir)
-    grain = ["type", "ds", *keys]
     counted = registrants.selectExpr(
         "ds", *keys, f"explode(array({', '.join(map(repr, LINE_TYPES))})) AS type", f"{REG} AS slot", "1L AS amount"
     )
     earned = registrants.join(_line_amounts(spark, sf_dir), "o_orderkey").select(*counted.columns)
-    long = counted.unionByName(earned).groupBy(*grain, "slot").agg(F.expr("sum(amount) AS amount"))
-    wide = long.groupBy(*grain).pivot("slot", list(range(REG + 1))).agg(F.expr("first(amount)"))
-
-    def profit(slots: range | list[int]) -> str:
-        return f"({' + '.join(f'coalesce(`{slot}`, 0L)' for slot in slots)}) / {PROFIT_SCALE}D"
-
-    measures = {
-        "reg_user_cnt": f"`{REG}`",
-        "isprofit_d07_cnt": f"coalesce(`{IS_PROFIT}`, 0L)",
-        "profit_d07": profit([D07]),
-        "profit_y01": profit(range(12)),
-        "profit_pm08": profit(range(8)),
-        "profit_mm03": profit(range(5, 8)),
+
+    def units(condition: str) -> str:
+        return f"coalesce(sum(CASE WHEN {condition} THEN amount END), 0L)"
+
+    profits = {
+        "profit_d07": f"slot = {D07}",
+        "profit_y01": "slot < 12",
+        "profit_pm08": "slot < 8",
+        "profit_mm03": "slot BETWEEN 5 AND 7",
     }
-    measures |= {f"profit_m{month}": profit([n]) for n, month in enumerate(MONTHS)}
-    columns = labels | measures
-    return wide.selectExpr("type", "ds", *[f"{column} AS {name}" for name, column in columns.items()])
+    profits |= {f"profit_m{month}": f"slot = {n}" for n, month in enumerate(MONTHS)}
+    measures = {"reg_user_cnt": units(f"slot = {REG}"), "isprofit_d07_cnt": units(f"slot = {IS_PROFIT}")}
+    measures |= {name: f"{units(condition)} / {PROFIT_SCALE}D" for name, condition in profits.items()}
+    totals = [F.expr(f"{total} AS {name}") for name, total in measures.items()]
+    sums = counted.unionByName(earned).groupBy("type", "ds", *keys).agg(*totals)
+    return sums.selectExpr("type", "ds", *[f"{label} AS {name}" for name, label in labels.items()], *measures)
 
 
 def base_info(spark: SparkSession, sf_dir: str) -> DataFrame:
