@@ -2,6 +2,36 @@
 
 from __future__ import annotations
 
+OP1 = """
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(words), 10) AS n, array_to_string(words[i:i + least(len(words), 10) - 1], ' ') AS run
+  FROM (SELECT *, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS i FROM items WHERE len(words) > 0)),
+runs AS (
+  SELECT row_id, i, n, array_to_string(words[i:i + n - 1], ' ') AS run
+  FROM (SELECT row_id, words, n, unnest(range(1, len(words) - n + 2)) AS i
+        FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(words) >= n)),
+found AS (SELECT row_id, i, n, item FROM runs JOIN windows USING (n, run)),
+hit AS (
+  SELECT row_id, count(DISTINCT place) AS n_hit FROM (SELECT row_id, unnest(range(i, i + n)) AS place FROM found) GROUP BY row_id),
+named AS (
+  SELECT row_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT row_id, item FROM found) GROUP BY row_id)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       CASE WHEN len(words) > 0 THEN coalesce(n_hit, 0) / len(words) ELSE 0 END AS coverage
+FROM docs LEFT JOIN hit USING (row_id) LEFT JOIN named USING (row_id)
+"""
+
 OP6 = """
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
@@ -83,4 +113,4 @@ SELECT d.doc_id, d.n + 1 AS size, c.text_crc32, 'key' AS law, CAST(a.shard AS IN
 FROM digits d JOIN summed c USING (row_id) JOIN now8 a USING (row_id) JOIN grown9 b USING (row_id)
 """
 
-ORACLES = {"op6_fair_mixing": OP6, "op10_jump_sharding": OP10}
+ORACLES = {"op1_automaton_decontamination": OP1, "op6_fair_mixing": OP6, "op10_jump_sharding": OP10}

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmill.llm import mixing, sharding
+from cohortmill.llm import decontam, mixing, sharding
 from cohortmill.llm.common import table
 
 
+def op1_automaton_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents inside windows of ten words of test items."""
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed to weights 1, 2, 3 in turn, up to three times each."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -24,6 +29,7 @@ def op10_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_automaton_decontamination": op1_automaton_decontamination,
     "op6_fair_mixing": op6_fair_mixing,
     "op10_jump_sharding": op10_jump_sharding,
 }
