@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmill.llm import decontam, langid, mixing, sharding
+from cohortmill.llm import decontam, fertility, langid, mixing, sharding
 from cohortmill.llm.common import table
 
 
@@ -20,6 +20,11 @@ def op6_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word and token measures of every document, and which pass the rules and bands."""
+    return fertility.judge(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op9_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of them."""
     return langid.predict(table(spark, sf_dir, "documents"))
@@ -36,6 +41,7 @@ def op10_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_automaton_decontamination": op1_automaton_decontamination,
     "op6_fair_mixing": op6_fair_mixing,
+    "op7_tokeniser_fertility": op7_tokeniser_fertility,
     "op9_cross_parsing_language": op9_cross_parsing_language,
     "op10_jump_sharding": op10_jump_sharding,
 }
