@@ -2,13 +2,13 @@
 
 A public byte-level vocabulary, which is only read, splits every document into tokens. Measured per
 document: characters per token, share of tokens that are no whole characters (byte fallback), and entropy of
-the tokens. Bands around the usual values are learned for each language and size of document, and a document
+the tokens, of which the bands use what it lacks to that of as many different tokens. Bands around the usual values are learned for each language and size of document, and a document
 outside a band is rejected. Plain rules on words, repeats and signs stand beside the bands.
 
 The language is the ``lang`` column; where it is null, the script of most letters. Bands come from counts
 of all documents over a fixed grid: medians and median distances, so that neither a hot source nor junk
-moves them far. A language and size with fewer than ``least_docs`` documents uses the bands of its language,
-and a language with fewer than that rejects nothing.
+moves them far. A language and size with fewer than ``least_docs`` documents uses the bands of its language
+and none for entropy, which depends on size; a language with fewer than that rejects nothing.
 
 Defined results: null text has no words and tokens, fails the plain rules and is left out of the bands, as is
 text without tokens. Runs of 1,000 and more characters without a space are tokenised in slices of that
@@ -43,9 +43,9 @@ WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30
 SCRIPTS = {"latin": r"\p{IsLatin}", "cyrillic": r"\p{IsCyrillic}", "arabic": r"\p{IsArabic}", "han": r"\p{IsHan}"}
-GRID = {"chars_per_token": 0.02, "byte_share": 0.005, "entropy": 0.05}
+GRID = {"chars_per_token": 0.02, "byte_share": 0.005, "entropy_lack": 0.05}
 # Least half width of a band, in the metric's own unit.
-LEAST_WIDTH = {"chars_per_token": 0.6, "byte_share": 0.1, "entropy": 1.0}
+LEAST_WIDTH = {"chars_per_token": 0.6, "byte_share": 0.1, "entropy_lack": 1.0}
 METRICS = [
     ("n_words", T.LongType()),
     ("word_chars", T.LongType()),
@@ -140,7 +140,7 @@ def measured(text: str | None, tokens: Tokens) -> tuple:
 
 
 def measure(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY) -> DataFrame:
-    """The named columns, METRICS, ``kind`` (language or script) and ``octave`` (log2 of the token count)."""
+    """The named columns, METRICS, ``kind`` (language or script), ``octave`` (log2 of the token count) and ``entropy_lack``."""
     with open(vocabulary, "rb") as file:  # about 1 MB, sent along so that executors need no file
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
     fields = [T.StructField(name, kind) for name, kind in METRICS]
@@ -165,7 +165,10 @@ def measure(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY) -> D
 
     source = docs.select(*keep, kind.alias("kind"), F.col("text").alias("_text"))
     found = source.mapInArrow(run, schema)
-    return found.withColumn("octave", F.when(F.col("n_tokens") > 0, F.floor(F.log2("n_tokens"))).otherwise(-1))
+    size = F.when(F.col("n_tokens") > 0, F.log2("n_tokens"))
+    return found.withColumns(
+        {"octave": F.coalesce(F.floor(size), F.lit(-1)), "entropy_lack": F.greatest(size - F.col("entropy"), F.lit(0.0))}
+    )
 
 
 def bands(measures: DataFrame, spread: float = 6.0, least_docs: int = 50) -> DataFrame:
@@ -209,7 +212,8 @@ def bands(measures: DataFrame, spread: float = 6.0, least_docs: int = 50) -> Dat
     least = F.element_at(F.create_map(*[F.lit(x) for pair in LEAST_WIDTH.items() for x in pair]), F.col("metric"))
     middle = F.when(enough, F.col("centre")).otherwise(F.col("all_centre")) * step
     width = F.greatest(F.when(enough, F.col("away")).otherwise(F.col("all_away")) * step * spread, least)
-    width = F.when(F.col("all_docs") >= least_docs, width).otherwise(F.lit(float("inf")))
+    usable = (F.col("all_docs") >= least_docs) & (enough | (F.col("metric") != "entropy_lack"))
+    width = F.when(usable, width).otherwise(F.lit(float("inf")))
     ends = both.select("kind", "octave", "metric", (middle - width).alias("low"), (middle + width).alias("high"))
     picked = [
         F.max(F.when(F.col("metric") == name, F.col(end))).alias(f"{name}_{end}") for name in GRID for end in ("low", "high")
@@ -232,5 +236,5 @@ def judge(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY) -> Dat
     fine = ~F.col("base_failed")
     for name in odd:
         fine = fine & ~F.col(name)
-    names = [*keep, *[name for name, _ in METRICS], "kind", "base_failed", *odd]
+    names = [*keep, *[name for name, _ in METRICS], "entropy_lack", "kind", "base_failed", *odd]
     return judged.withColumn("kept", fine).select(*names, "kept")
