@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmill.llm import decontam, fertility, langid, mixing, sharding
+from cohortmill.llm import chunks, decontam, fertility, langid, mixing, sharding
 from cohortmill.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op1_automaton_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_gear_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of every chunk of text that documents hold twice or more."""
+    return chunks.repeated(table(spark, sf_dir, "documents"))
+
+
 def op6_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed to weights 1, 2, 3 in turn, up to three times each."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -40,6 +45,7 @@ def op10_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_automaton_decontamination": op1_automaton_decontamination,
+    "op2_gear_chunk_dedup": op2_gear_chunk_dedup,
     "op6_fair_mixing": op6_fair_mixing,
     "op7_tokeniser_fertility": op7_tokeniser_fertility,
     "op9_cross_parsing_language": op9_cross_parsing_language,
