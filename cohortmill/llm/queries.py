@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmill.llm import chunks, decontam, fertility, langid, mixing, sharding
+from cohortmill.llm import chunks, decontam, fertility, langid, mixing, probminhash, sharding
 from cohortmill.llm.common import table
 
 
@@ -19,6 +19,12 @@ def op2_gear_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.repeated(table(spark, sf_dir, "documents"))
 
 
+def op5_probminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near-duplicate documents."""
+    found = probminhash.classify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "same_text_id", "class_id", "kept")
+
+
 def op6_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed to weights 1, 2, 3 in turn, up to three times each."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -46,6 +52,7 @@ def op10_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_automaton_decontamination": op1_automaton_decontamination,
     "op2_gear_chunk_dedup": op2_gear_chunk_dedup,
+    "op5_probminhash_dedup": op5_probminhash_dedup,
     "op6_fair_mixing": op6_fair_mixing,
     "op7_tokeniser_fertility": op7_tokeniser_fertility,
     "op9_cross_parsing_language": op9_cross_parsing_language,
