@@ -32,6 +32,39 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM docs LEFT JOIN hit USING (row_id) LEFT JOIN named USING (row_id)
 """
 
+
+
+def _matches(kind: str, pattern: str, check: str, text: str = "t") -> str:
+    """A query for all matches in table ``texts``: row_id, kind, start, end, value; places from the pieces between."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+  SELECT row_id, '{kind}' AS kind, start, start + length(value) AS stop, value FROM (
+    SELECT row_id, value, i,
+           CAST(sum(length(gap) + length(value)) OVER (PARTITION BY row_id ORDER BY i) - length(value) AS BIGINT) AS start
+    FROM (SELECT row_id, unnest(range(1, len(vals) + 1)) AS i, unnest(vals) AS value, unnest(gaps[1:len(vals)]) AS gap
+          FROM (SELECT row_id, regexp_extract_all({text}, '{quoted}') AS vals,
+                       regexp_split_to_array({text}, '{quoted}') AS gaps FROM texts)))
+  WHERE {check}"""
+
+
+_ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_GROUP = _ASSIGN.replace("'", "''")
+OP3 = f"""
+WITH texts AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS t FROM documents),
+spans AS ({_matches("assign", _ASSIGN, f"length(regexp_extract(value, '{_GROUP}', 2)) >= 6")}
+  UNION ALL {_matches("access", "AKIA[A-Z0-9]+", "length(value) >= 20")}
+  UNION ALL {_matches("hex", "[0-9a-f]+", "length(value) >= 24")}),
+summed AS (
+  SELECT row_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, list_position(['assign', 'access', 'hex'], kind))
+           AS spans
+  FROM spans GROUP BY row_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN summed USING (row_id)
+"""
+
 OP6 = """
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
@@ -113,4 +146,4 @@ SELECT d.doc_id, d.n + 1 AS size, c.text_crc32, 'key' AS law, CAST(a.shard AS IN
 FROM digits d JOIN summed c USING (row_id) JOIN now8 a USING (row_id) JOIN grown9 b USING (row_id)
 """
 
-ORACLES = {"op1_automaton_decontamination": OP1, "op6_fair_mixing": OP6, "op10_jump_sharding": OP10}
+ORACLES = {"op1_automaton_decontamination": OP1, "op3_blob_ledger_secrets": OP3, "op6_fair_mixing": OP6, "op10_jump_sharding": OP10}

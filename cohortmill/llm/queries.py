@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmill.llm import chunks, decontam, fertility, langid, mixing, probminhash, sharding
+from cohortmill.llm import blob_ledger, chunks, decontam, fertility, langid, mixing, probminhash, sharding
 from cohortmill.llm.common import table
+from cohortmill.sources.checkpoints import new_path
 
 
 def op1_automaton_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +20,12 @@ def op2_gear_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.repeated(table(spark, sf_dir, "documents"))
 
 
+def op3_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents, by a ledger that has seen none of them."""
+    ledger = blob_ledger.BlobLedger(spark, new_path(spark, "ledger"))
+    return blob_ledger.report(ledger.scan(table(spark, sf_dir, "documents")))
+
+
 def op5_probminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of near-duplicate documents."""
     found = probminhash.classify(table(spark, sf_dir, "documents"))
@@ -52,6 +59,7 @@ def op10_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_automaton_decontamination": op1_automaton_decontamination,
     "op2_gear_chunk_dedup": op2_gear_chunk_dedup,
+    "op3_blob_ledger_secrets": op3_blob_ledger_secrets,
     "op5_probminhash_dedup": op5_probminhash_dedup,
     "op6_fair_mixing": op6_fair_mixing,
     "op7_tokeniser_fertility": op7_tokeniser_fertility,
