@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmill.llm import blob_ledger, chunks, decontam, fertility, langid, mixing, probminhash, sharding
+from cohortmill.llm import blob_ledger, chunks, decontam, disclosure, fertility, langid, mixing, probminhash, sharding
 from cohortmill.llm.common import table
 from cohortmill.sources.checkpoints import new_path
 
@@ -26,6 +26,11 @@ def op3_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blob_ledger.report(ledger.scan(table(spark, sf_dir, "documents")))
 
 
+def op4_disclosure_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents, and the terms that disclose it."""
+    return disclosure.report(table(spark, sf_dir, "documents"))
+
+
 def op5_probminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of near-duplicate documents."""
     found = probminhash.classify(table(spark, sf_dir, "documents"))
@@ -60,6 +65,7 @@ QUERIES = {
     "op1_automaton_decontamination": op1_automaton_decontamination,
     "op2_gear_chunk_dedup": op2_gear_chunk_dedup,
     "op3_blob_ledger_secrets": op3_blob_ledger_secrets,
+    "op4_disclosure_personal_data": op4_disclosure_personal_data,
     "op5_probminhash_dedup": op5_probminhash_dedup,
     "op6_fair_mixing": op6_fair_mixing,
     "op7_tokeniser_fertility": op7_tokeniser_fertility,
