@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortmill.llm.common import documents_only
 from cohortmill.sources.checkpoints import written
 
 NEAR, MOST = 32, 256
@@ -159,6 +160,7 @@ def repeated(docs: DataFrame, near: int = NEAR, most: int = MOST) -> DataFrame:
 
 def deduplicated(docs: DataFrame, near: int = NEAR, most: int = MOST) -> DataFrame:
     """The documents without the chunks that another place keeps. Texts that are nothing else become empty."""
+    docs = documents_only(docs)
     places = repeated(docs, near, most).filter(~F.col("kept"))
     span = F.struct("start", "end")
     # A row's chunks, so no list is longer than its text.

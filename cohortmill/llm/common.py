@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents_only(docs: DataFrame) -> DataFrame:
+    """The columns of documents alone; what else a table holds is left out, so that no name clashes."""
+    return docs.select(*[name for name in DOCUMENTS if name in docs.columns])
+
+
 def n_words(text: Column) -> Column:
     """Number of words (runs without white space); null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortmill.llm.common import documents_only
 from cohortmill.sources.checkpoints import written
 
 WINDOW = 10
@@ -289,7 +290,8 @@ def decontaminate(
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """Documents without the spans that repeat test items; those with more than ``max_coverage`` of their words
-    in such spans go. Other columns stay as they are; ``n_chars`` follows the text where there is one."""
+    in such spans go. The other columns of documents stay as they are; ``n_chars`` follows the text where there is one."""
+    docs = documents_only(docs)
     names = docs.columns
     current = docs.select(*names, F.lit(None).cast("long").alias("_words"), F.lit(0).cast("long").alias("_cut"))
     schema = current.schema

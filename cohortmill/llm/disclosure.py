@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortmill.llm import spans
+from cohortmill.llm.common import documents_only
 from cohortmill.llm.spans import Rule
 from cohortmill.sources.checkpoints import written
 
@@ -189,6 +190,7 @@ def report(docs: DataFrame, reach: int = REACH, threshold: float = THRESHOLD, ev
 
 def sanitised(docs: DataFrame, reach: int = REACH, threshold: float = THRESHOLD, evidence: int = EVIDENCE) -> DataFrame:
     """The documents with placeholders for entities and generalised terms, and without removed terms."""
+    docs = documents_only(docs)
     named = detect(docs, reach, threshold, evidence)
     holder = F.create_map(*[F.lit(x) for pair in PLACEHOLDERS.items() for x in pair])
     entity = F.transform(

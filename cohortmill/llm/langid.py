@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortmill.llm.common import documents_only
+
 SAMPLE_CHARS = 30_000
 UNKNOWN = "und"
 OTHER = re.compile(r"[\W\d_]+")
@@ -177,6 +179,7 @@ def predict(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
 def known_language(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, least_chars_per_phrase: float = 1.5) -> DataFrame:
     """Documents in one of the labelled languages: those that are ``und``, or whose phrases are hardly longer
     than a character in every language, go."""
+    docs = documents_only(docs)
     sample = learn(docs.filter(~held_out(F.col("doc_id"))), sample_chars)
     judged = identify(docs, sample, docs.columns)
     kept = (F.col("lang_pred") != UNKNOWN) & (F.col("chars_per_phrase") >= least_chars_per_phrase)

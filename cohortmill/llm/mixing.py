@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortmill.llm.common import n_words, running_total
+from cohortmill.llm.common import documents_only, n_words, running_total
 from cohortmill.sources.checkpoints import written
 
 WEIGHTS = (1, 2, 3)
@@ -119,6 +119,7 @@ def mix(docs: DataFrame, share: float = 1.0, epochs: int = EPOCHS, seed: int = 1
 
 def mixed_documents(docs: DataFrame, share: float = 1.0, epochs: int = EPOCHS, seed: int = 1) -> DataFrame:
     """The documents themselves, each as often as the mix takes it; rows equal in key, source and text are one."""
+    docs = documents_only(docs)
     chosen = mix(docs, share, epochs, seed).groupBy("doc_id", "source", "shuffle")
     chosen = chosen.agg(F.sum("times").cast("int").alias("_times"), F.count(F.lit(1)).alias("_rows"))
     chosen = chosen.filter(F.col("_times") > 0).withColumnsRenamed(

@@ -103,6 +103,40 @@ SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM queue
 """
 
 
+OP8 = """
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, text, md5(text) AS digest, string_split(text, chr(10)) AS lines
+  FROM documents),
+numbers AS (
+  SELECT row_id, i, lines[i] AS line, ('0x' || substr(md5(lines[i]), 1, 7))::BIGINT AS number, len(lines) AS n
+  FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM docs WHERE text IS NOT NULL)),
+ends AS (
+  SELECT *, i = n OR (number + 31 * coalesce(lag(number) OVER (PARTITION BY row_id ORDER BY i), 0)) % 1000003 % 3 = 0
+            AS is_end
+  FROM numbers),
+chunks AS (
+  SELECT *, coalesce(sum(CAST(is_end AS INTEGER)) OVER (PARTITION BY row_id ORDER BY i
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM ends),
+bodies AS (
+  SELECT row_id, chunk, min(i) AS first, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body
+  FROM chunks GROUP BY row_id, chunk HAVING count(*) > 1),
+worded AS (SELECT * FROM bodies WHERE regexp_matches(body, '[^\x20\x09-\x0D]')),
+gone AS (
+  SELECT row_id, chunk, n FROM (
+    SELECT w.*, dense_rank() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST, digest, first) AS place
+    FROM worded w JOIN docs USING (row_id))
+  WHERE place > 1),
+lost AS (SELECT row_id, count(*) AS n_chunks, CAST(sum(n) AS BIGINT) AS n_lines FROM gone GROUP BY row_id),
+kept AS (
+  SELECT row_id, string_agg(line, chr(10) ORDER BY i) AS text
+  FROM chunks c ANTI JOIN gone g ON c.row_id = g.row_id AND c.chunk = g.chunk GROUP BY row_id)
+SELECT doc_id, CASE WHEN n_chunks > 0 THEN coalesce(kept.text, '') ELSE docs.text END AS text,
+       coalesce(len(lines), 0) AS n_lines, coalesce(n_chunks, 0) AS n_removed_chunks,
+       coalesce(lost.n_lines, 0) AS n_removed_lines
+FROM docs LEFT JOIN lost USING (row_id) LEFT JOIN kept USING (row_id)
+"""
+
+
 def _jumps(shards: int, name: str) -> str:
     """The generator's steps, one level of SQL each; a key makes at most ``shards`` jumps."""
     steps = [f"{name}0 AS (SELECT row_id, key, CAST(0 AS BIGINT) AS ahead, CAST(0 AS BIGINT) AS shard FROM keys)"]
@@ -146,4 +180,4 @@ SELECT d.doc_id, d.n + 1 AS size, c.text_crc32, 'key' AS law, CAST(a.shard AS IN
 FROM digits d JOIN summed c USING (row_id) JOIN now8 a USING (row_id) JOIN grown9 b USING (row_id)
 """
 
-ORACLES = {"op1_automaton_decontamination": OP1, "op3_blob_ledger_secrets": OP3, "op6_fair_mixing": OP6, "op10_jump_sharding": OP10}
+ORACLES = {"op1_automaton_decontamination": OP1, "op3_blob_ledger_secrets": OP3, "op6_fair_mixing": OP6, "op8_line_chunk_dedup": OP8, "op10_jump_sharding": OP10}

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortmill.llm.common import documents_only
 from cohortmill.llm.components import components
 from cohortmill.sources.checkpoints import written
 
@@ -311,6 +312,7 @@ def classify(
 
 def deduplicated(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """The documents that their classes are named after, one row each."""
+    docs = documents_only(docs)
     kept = classify(docs, threshold, bands, rows).filter(F.col("kept") & F.col("digest").isNotNull())
     kept = kept.groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).agg(F.count(F.lit(1)).alias("_rows"))
     keyed = docs.withColumn("_own", F.unhex(F.md5(F.col("text").cast("binary"))))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmill.llm import blob_ledger, chunks, decontam, disclosure, fertility, langid, mixing, probminhash, sharding
+from cohortmill.llm import blob_ledger, chunks, decontam, disclosure, fertility, langid, line_chunks, mixing, probminhash, sharding
 from cohortmill.llm.common import table
 from cohortmill.sources.checkpoints import new_path
 
@@ -48,6 +48,12 @@ def op7_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judge(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op8_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the chunks of lines that another place keeps."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_chunks.deduplicated(docs)
+
+
 def op9_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of them."""
     return langid.predict(table(spark, sf_dir, "documents"))
@@ -69,6 +75,7 @@ QUERIES = {
     "op5_probminhash_dedup": op5_probminhash_dedup,
     "op6_fair_mixing": op6_fair_mixing,
     "op7_tokeniser_fertility": op7_tokeniser_fertility,
+    "op8_line_chunk_dedup": op8_line_chunk_dedup,
     "op9_cross_parsing_language": op9_cross_parsing_language,
     "op10_jump_sharding": op10_jump_sharding,
 }
