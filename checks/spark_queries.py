@@ -282,12 +282,23 @@ def ledger_match_by_date(spark, sf):
     return ledger.match(*_ledger(spark, sf), order="date")
 
 
+def ledger_match_heavy(spark, sf):
+    """Both orders with every user on the path for users of any size, in small chunks."""
+    sizes = ledger.Sizes(heavy_rows=0, chunk_rows=8, block_segments=4)
+    income, payout = _ledger(spark, sf)
+    runs = [
+        ledger.match(income, payout, order, sizes=sizes).withColumn("match_order", F.lit(order))
+        for order in ("seq", "date")
+    ]
+    return runs[0].unionByName(runs[1])
+
+
 def ledger_full_scope(spark, sf):
     return ledger.match(*_ledger(spark, sf), scope="full")
 
 
 def ledger_splits(spark, sf):
-    return ledger.splits(ledger.match(*_ledger(spark, sf)))
+    return ledger.splits(*_ledger(spark, sf))
 
 
 def ledger_open_balance(spark, sf):
@@ -305,7 +316,7 @@ def ledger_untouched_users(spark, sf):
 def ledger_resume(spark, sf):
     income, payout = _ledger(spark, sf)
     early, late = F.col("ds") < F.lit(SECOND_RUN), F.col("ds") >= F.lit(SECOND_RUN)
-    first = ledger.match(income.where(early), payout.where(early), scope="full")
+    first = written(ledger.match(income.where(early), payout.where(early), scope="full"))
     return ledger.resume(first, income.where(late), payout.where(late))
 
 
@@ -351,6 +362,7 @@ QUERIES = {
         ledger_overdraft,
         ledger_open_balance,
         ledger_match_by_date,
+        ledger_match_heavy,
         ledger_full_scope,
         ledger_resume,
     )

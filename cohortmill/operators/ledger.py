@@ -24,6 +24,8 @@ from cohortmill.sources.checkpoints import written
 
 USER = "user_id"
 INCOME, PAYOUT = 0, 1
+# Parts that the zero incomes of a heavy user are dealt to.
+EDGE_PARTS = 64
 # Columns a match sets on an income row.
 SET_COLUMNS = ["show_amount", "payout_flag", "payout_id", "payout_type_id", "payout_date"]
 
@@ -34,8 +36,6 @@ class Sizes:
 
     heavy_rows: int = 1_000_000
     """A user with more rows is cut into chunks."""
-    heavy_users: int = 10_000
-    """Most users cut into chunks; a user beyond has less than 1/10,000 of all rows."""
     chunk_rows: int = 65_536
     """Incomes or payouts per chunk."""
     block_segments: int = 512
@@ -61,36 +61,53 @@ def valid_payout(payout: DataFrame) -> Column:
     return F.coalesce(F.col("show_amount") < 0, F.lit(False))
 
 
-def rejected(income: DataFrame, payout: DataFrame) -> DataFrame:
-    """Side table of rows that take no part in matching because of their amount or missing user."""
+def income_order(order: str) -> tuple[Column, Column]:
+    """The two columns that order a user's incomes."""
+    if order == "seq":
+        return F.col("seq_id"), F.col("id")
+    if order == "date":
+        return F.unix_date("ds"), F.col("id")
+    raise ValueError(f"unknown order {order!r}")
+
+
+def ordered_income(order: str) -> Column:
+    """An income without one of its order columns has no place in the user's order."""
+    first, second = income_order(order)
+    return first.isNotNull() & second.isNotNull()
+
 
-    def bad(df: DataFrame, source: str, valid: Column) -> DataFrame:
-        reason = F.when(F.col(USER).isNull(), "no user").otherwise("amount")
-        return df.where(~valid | F.col(USER).isNull()).select(
+def rejected(income: DataFrame, payout: DataFrame, order: str = "seq") -> DataFrame:
+    """Side table of rows that take no part in matching: no user, an amount of the wrong sign, or no place in the order."""
+
+    def bad(df: DataFrame, source: str, valid: Column, placed: Column) -> DataFrame:
+        reason = F.when(F.col(USER).isNull(), "no user").when(~valid, "amount").otherwise("order")
+        return df.where(~valid | F.col(USER).isNull() | ~placed).select(
             F.lit(source).alias("source"), "id", USER, "show_amount", reason.alias("reason")
         )
 
-    return bad(income, "income", valid_income(income)).unionByName(bad(payout, "payout", valid_payout(payout)))
+    incomes = bad(income, "income", valid_income(income), ordered_income(order))
+    return incomes.unionByName(bad(payout, "payout", valid_payout(payout), F.col("id").isNotNull()))
+
+
+def _enters(income: DataFrame, order: str) -> Column:
+    """Open incomes that take part in matching; never null."""
+    enters = (F.col("payout_flag") == 0) & F.col(USER).isNotNull() & valid_income(income) & ordered_income(order)
+    return F.coalesce(enters, F.lit(False))
 
 
 def _entries(income: DataFrame, payout: DataFrame, order: str) -> DataFrame:
     """Open incomes and payouts in one shape; ``_o1, _o2`` is the order within a user and side."""
-    if order == "seq":
-        first, second = F.col("seq_id"), F.col("id")
-    elif order == "date":
-        first, second = F.unix_date("ds"), F.col("id")
-    else:
-        raise ValueError(f"unknown order {order!r}")
+    first, second = income_order(order)
     kept = [name for name in income.columns if name not in (USER, *SET_COLUMNS)]
-    incomes = income.where((F.col("payout_flag") == 0) & F.col(USER).isNotNull() & valid_income(income))
-    payouts = payout.where(F.col(USER).isNotNull() & valid_payout(payout))
+    incomes = income.where(_enters(income, order))
+    payouts = payout.where(F.col(USER).isNotNull() & valid_payout(payout) & F.col("id").isNotNull())
     return incomes.select(
         USER,
         F.lit(INCOME).alias("side"),
         first.cast("bigint").alias("_o1"),
         second.cast("bigint").alias("_o2"),
         _cents(F.col("show_amount")).alias("cents"),
-        F.struct(*kept).alias("income"),
+        F.struct(*kept, _cents(F.col("show_amount")).alias("_cents")).alias("income"),
     ).unionByName(
         payouts.select(
             USER,
@@ -199,8 +216,7 @@ def _heavy_pieces(entries: DataFrame, order: str, sizes: Sizes) -> DataFrame:
     neighbouring income instead. Positions and segments are used several times, so they are written out.
     """
     totals = {"hi": F.col("cents"), "rank": F.when(F.col("cents") > 0, 1).otherwise(0)}
-    radix = ["_o1"] if order == "seq" else ["_o1", "_o2"]
-    placed = running_totals(entries, [USER, "side"], radix, totals, ties=["_o2"], bits=sizes.radix_bits)
+    placed = running_totals(entries, [USER, "side"], ["_o1", "_o2"], totals, bits=sizes.radix_bits)
     placed = written(
         placed.withColumns(
             {
@@ -247,15 +263,18 @@ def _heavy_pieces(entries: DataFrame, order: str, sizes: Sizes) -> DataFrame:
         # Paid with the start of the income after; behind all incomes, by the payout that goes beyond.
         beside = pieces.where(F.col("_from") == F.col("income.lo"))
         neighbour = F.col("income.rank") - 1
-        # One row per heavy user, a short list.
-        ends = F.broadcast(incomes.groupBy(USER).agg(F.max("hi").alias("_end"), F.max("rank").alias("_last")))
+        ends = incomes.groupBy(USER).agg(F.max("hi").alias("_end"), F.max("rank").alias("_last"))
         edge = payouts.join(ends, USER).where((F.col("lo") <= F.col("_end")) & (F.col("hi") > F.col("_end")))
         edge = edge.select(USER, F.col("payout").alias("_edge"), "_last")
         at_edge = F.col("rank") == F.col("_last")
     beside = beside.select(USER, neighbour.alias("rank"), F.col("payout").alias("_beside"))
+    # All zeros of a user may be at one place, so they are dealt to several parts, each of which gets the edge.
+    parts = F.explode(F.sequence(F.lit(0), F.lit(EDGE_PARTS - 1)))
+    edge = edge.withColumn("_part", parts)
+    zeros = zeros.withColumn("_part", F.pmod(F.xxhash64("_zero.id"), F.lit(EDGE_PARTS)).cast("int"))
     settled = (
         zeros.join(beside, [USER, "rank"], "left")
-        .join(edge, USER, "left")
+        .join(edge, [USER, "_part"], "left")
         .select(
             USER,
             F.col("_zero").alias("income"),
@@ -285,7 +304,7 @@ def pieces(income: DataFrame, payout: DataFrame, order: str = "seq", sizes: Size
     ]
     paying = F.max(F.col("side") == PAYOUT).alias("_paying")
     counted = entries.select(USER, "side")
-    heavy = heavy_keys(counted, USER, sizes.heavy_rows, sizes.heavy_users, [paying])
+    heavy = heavy_keys(counted, USER, sizes.heavy_rows, [paying])
     if heavy is None:
         return _light_pieces(entries, order).select(*columns)
     light = _light_pieces(entries.join(heavy, USER, "left_anti"), order)
@@ -326,8 +345,7 @@ def match(
         return _income_rows(found.where("paying"), income)
     if scope != "full":
         raise ValueError(f"unknown scope {scope!r}")
-    untouched = ~((F.col("payout_flag") == 0) & F.col(USER).isNotNull() & valid_income(income))
-    return _income_rows(found, income).unionByName(income.where(F.coalesce(untouched, F.lit(True))))
+    return _income_rows(found, income).unionByName(income.where(~_enters(income, order)))
 
 
 def open_balance(matched: DataFrame) -> DataFrame:
@@ -335,11 +353,10 @@ def open_balance(matched: DataFrame) -> DataFrame:
     return matched.where(F.col("payout_flag") == 0)
 
 
-def splits(matched: DataFrame) -> DataFrame:
-    """Rows of incomes that were cut, by payouts or by the open remainder."""
-    # The rows of one income are one per payout that reaches it; counting them is pre-aggregated.
-    cut = matched.groupBy(USER, "id").agg(F.count("*").alias("_parts")).where(F.col("_parts") > 1)
-    return matched.join(cut.select(USER, "id"), [USER, "id"], "left_semi")
+def splits(income: DataFrame, payout: DataFrame, order: str = "seq", sizes: Sizes = Sizes()) -> DataFrame:
+    """Rows of incomes that were cut, by payouts or by the open remainder: pieces smaller than their income."""
+    found = pieces(income, payout, order, sizes)
+    return _income_rows(found.where("paying AND cents < income._cents"), income)
 
 
 def overdraft(income: DataFrame, payout: DataFrame, order: str = "seq", sizes: Sizes = Sizes()) -> DataFrame:
@@ -353,9 +370,9 @@ def overdraft(income: DataFrame, payout: DataFrame, order: str = "seq", sizes: S
 
 def untouched_users(income: DataFrame, payout: DataFrame) -> DataFrame:
     """Incomes of users without any payout."""
-    return income.join(payout.select(USER).where(F.col(USER).isNotNull()), USER, "left_anti").select(
-        *income.columns
-    )
+    # Written first: a join right over two shuffles is one that is split where a user holds very many rows.
+    paid = written(payout.select(USER).where(F.col(USER).isNotNull()).distinct())
+    return income.join(paid, USER, "left_anti").select(*income.columns)
 
 
 def resume(
@@ -366,5 +383,8 @@ def resume(
     scope: str = "incremental",
     sizes: Sizes = Sizes(),
 ) -> DataFrame:
-    """Next run: what an earlier run left open, plus new incomes, against new payouts."""
+    """Next run: what an earlier run left open, plus new incomes, against new payouts.
+
+    ``previous`` is the stored result of that run; given as a plan, it would be computed again and again.
+    """
     return match(open_balance(previous).unionByName(income), payout, order, scope, sizes)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortmill.sources.checkpoints import written
+
 # Bits of an order key that one window task sorts: at most 65,536 distinct keys.
 RADIX_BITS = 16
 KEY_BITS = 64
@@ -30,7 +32,6 @@ def running_totals(
     keys: list[str],
     order: list[str],
     totals: dict[str, Column],
-    ties: list[str] | None = None,
     bits: int = RADIX_BITS,
 ) -> DataFrame:
     """Add inclusive running sums of ``totals`` over ``keys`` in the given order, by radix of the order.
@@ -39,7 +40,6 @@ def running_totals(
     summed within larger groups, and so on up to the whole key. No task sorts more than ``2**bits`` order
     keys of one key, however many rows it has. ``order`` columns are whole numbers, never null, and
     together tell the rows of a key apart; negative numbers keep their order, since shifts round down.
-    ``ties`` only settles the order of stray duplicates.
     """
     levels = radix_levels(order, bits)
     names = list(totals)
@@ -77,7 +77,7 @@ def running_totals(
     before = offsets(grouped.groupBy(*keys, *finest, *coarser).agg(*sums), 0)
     upto = (
         Window.partitionBy(*keys, *finest)
-        .orderBy(*order, *(ties or []))
+        .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = grouped.withColumns({f"_local_{n}": F.sum(f"_amount_{n}").over(upto) for n in names})
@@ -88,18 +88,12 @@ def running_totals(
     )
 
 
-def heavy_keys(
-    rows: DataFrame, key: str, min_rows: int, max_keys: int, extra: list[Column]
-) -> DataFrame | None:
-    """The keys with more than ``min_rows`` rows, the ``max_keys`` largest at most, ready to broadcast.
+def heavy_keys(rows: DataFrame, key: str, min_rows: int, extra: list[Column]) -> DataFrame | None:
+    """The keys with more than ``min_rows`` rows, one row each, as a written table; None when there is no such key.
 
-    Runs a pre-aggregated count and brings at most ``max_keys`` short rows to the driver. The list decides
-    the physical path only, never the result. A key left out for ``max_keys`` has less than
-    ``1 / max_keys`` of all rows. None when there is no such key.
+    Runs a pre-aggregated count. The table decides the physical path only, never the result; whether it is
+    broadcast is left to its size.
     """
     counts = rows.groupBy(key).agg(F.count("*").alias("_rows"), *extra).where(F.col("_rows") > min_rows)
-    largest = counts.orderBy(F.col("_rows").desc(), key).limit(max_keys).drop("_rows")
-    found = largest.collect()
-    if not found:
-        return None
-    return F.broadcast(rows.sparkSession.createDataFrame(found, largest.schema))
+    found = written(counts.drop("_rows"))
+    return None if found.isEmpty() else found

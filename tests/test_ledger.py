@@ -102,6 +102,34 @@ def test_both_ways_equal_the_sequential_walk(spark, order, seed):
     assert result(ledger.match(money, paid, order, sizes=TINY)) == wanted
 
 
+@pytest.mark.parametrize("order", ["seq", "date"])
+def test_null_repeated_and_negative_order_keys(spark, order):
+    """Rows without a place in the order stay out of both ways, and are listed; the rest agrees."""
+    rows = [
+        (1, None, 1, 0, 500), (2, 1, 1, None, 500), (None, 2, 1, 1, 500), (4, 2, 1, 1, 500), (5, 2, 1, 1, 0),
+        (6, -3, 2, 0, 0), (7, -3, 2, 0, 0), (8, -5, 2, 2, 300), (9, -5, 2, 2, 300), (10, 4, 2, 1, 0),
+        (11, 1, 3, 0, 100),
+    ]
+    full = [
+        (i, s, u, d if d is None else DAY + dt.timedelta(days=d), Decimal(c) / 100, 0, None, None, None)
+        for i, s, u, d, c in rows
+    ]
+    money = spark.createDataFrame(full, INCOME_SCHEMA)
+    paid = spark.createDataFrame(
+        [(i, u, 1, DAY, Decimal(c) / 100) for i, u, c in [(1, 1, -700), (None, 1, -100), (2, 2, -400)]], PAYOUT_SCHEMA
+    )
+    light = ledger.match(money, paid, order, scope="full")
+    for threshold in (0, 2, 4):
+        sizes = ledger.Sizes(heavy_rows=threshold, chunk_rows=2, block_segments=1)
+        assert result(ledger.match(money, paid, order, scope="full", sizes=sizes)) == result(light)
+    sums = Counter()
+    for row in light.collect():
+        sums[row.user_id] += int(row.show_amount * 100)
+    assert sums == Counter({1: 2000, 2: 600, 3: 100})
+    listed = {(r.source, r.id) for r in ledger.rejected(money, paid, order).collect()}
+    assert listed == {("income", 1 if order == "seq" else 2), ("income", None), ("payout", None)}
+
+
 def test_money_is_kept(spark):
     income_rows, payout_rows = random_ledger(3)
     rows = ledger.match(incomes(spark, income_rows), payouts(spark, payout_rows), scope="full").collect()
@@ -126,7 +154,7 @@ def test_scopes_rejects_and_resume(spark):
     full = ledger.match(money, paid, scope="full")
     assert sorted(r.id for r in full.collect()) == [1, 1, 2, 3, 4]
     assert sorted((r.source, r.id) for r in ledger.rejected(money, paid).collect()) == [("income", 4), ("payout", 2)]
-    assert {r.id for r in ledger.splits(full).collect()} == {1}
+    assert {r.id for r in ledger.splits(money, paid).collect()} == {1}
     again = ledger.resume(full, incomes(spark, [(9, 9, 2, 0, 50)]), payouts(spark, [(7, 1, 100), (8, 2, 120)]))
     assert result(again) == Counter(
         [(1, 1, 7, 100), (1, 0, None, 200), (3, 1, 8, 100), (9, 1, 8, 20), (9, 0, None, 30)]
