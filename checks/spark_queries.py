@@ -12,7 +12,7 @@ from cohortmill.functions.ratios import value_model
 from cohortmill.operators import coefficients as coef
 from cohortmill.operators import curve, fallback, hierarchy, ledger, measures, outliers, regression, values
 from cohortmill.plans.jobs import ChannelValues, SuffixValues
-from cohortmill.schema import COMPUTE_COLS, DIMENSIONS, MEASURES, REFER_COLS
+from cohortmill.schema import COMPUTE_COLS, DIMENSIONS, MEASURES
 from cohortmill.sources import fixtures as fx
 from cohortmill.sources.checkpoints import written
 from cohortmill.sources.sinks import rounded
@@ -37,15 +37,9 @@ def _sum(spark: SparkSession, sf: str) -> DataFrame:
     return profit_rows(fx.channel_sum(spark, sf))
 
 
-def _channel(spark: SparkSession, sf: str, floor=None) -> ChannelValues:
-    """The input is derived here and used twice, so it is written first, as the table it stands for.
-
-    Its rows are unique by day and labels. Of the month columns, which only keep base rows apart from
-    equal roll-ups, one is enough.
-    """
-    labels = [*COMPUTE_COLS, *REFER_COLS]
-    base = _base(spark, sf).select("type", "ds", *labels, *MEASURES, "profit_m02")
-    return ChannelValues(written(base), WINDOWS, floor)
+def _channel(spark: SparkSession, sf: str, floor=None, windows=WINDOWS) -> ChannelValues:
+    """The input is derived here and used twice, so it is written first, as the table it stands for."""
+    return ChannelValues(written(_base(spark, sf)), windows, floor)
 
 
 def _suffix(spark: SparkSession, sf: str) -> SuffixValues:

@@ -17,9 +17,11 @@ OBSERVED_MONTHS = MONTHS[:30]
 FITTED_MONTHS = MONTHS[30:]
 
 # Decay search: b = k * DECAY_UNIT for whole k, so every engine tries the same doubles. The first grid
-# spans [-0.5, 3.0] and leaves out b = 0; each later grid spans one step either side of the best k so far.
+# spans [-0.5, 3.0] and leaves out b = 0. While the best k is at an end, a grid of the same length beyond that
+# end is tried, WIDENINGS times at most; each later grid spans one step either side of the best k so far.
 DECAY_UNIT = 5e-7
 FIRST_GRID = (-950_000, 5_950_000, 100_000)
+WIDENINGS = 4
 REFINEMENTS = (10_000, 1_000, 100, 10, 1)
 
 
@@ -82,15 +84,26 @@ def _grid_best(points: Column, grid: Column) -> Column:
     return F.array_min(F.transform(F.transform(grid, fit), solve))
 
 
-def exp_fit(means: DataFrame) -> DataFrame:
+def exp_fit(means: DataFrame, first_grid: tuple[int, int, int] = FIRST_GRID) -> DataFrame:
     """Least-squares ``a, b, c`` of ``a * exp(-b * x) + c`` over x = 0..35 per category.
 
-    Works on the one row of each category, so it needs no shuffle. Always yields the best grid point.
+    Works on the one row of each category, so it needs no shuffle. Always yields the best grid point; ``edge``
+    tells that it is at an end of what was searched, so the fit may lie beyond.
     """
     months = F.expr(f"array({', '.join(f'coalesce(m{n}, 0D)' for n in MONTHS)})")
     fitted = means.withColumn("_points", months)
-    first = F.sequence(*[F.lit(bound) for bound in FIRST_GRID])
+    low, high, step = first_grid
+    span = high - low
+    first = F.sequence(F.lit(low), F.lit(high), F.lit(step))
     fitted = fitted.withColumn("_best", _grid_best(F.col("_points"), first))
+    for times in range(WIDENINGS):
+        best = F.col("_best.k")
+        above, below = best == high + times * span, best == low - times * span
+        start = F.when(above, best).otherwise(best - span)
+        beyond = _grid_best(F.col("_points"), F.sequence(start, start + span, F.lit(step)))
+        fitted = fitted.withColumn("_best", F.when(above | below, beyond).otherwise(F.col("_best")))
+    furthest = F.col("_best.k").isin(low - WIDENINGS * span, high + WIDENINGS * span)
+    fitted = fitted.withColumn("_edge", furthest)
     for step in REFINEMENTS:
         best = F.col("_best.k")
         around = F.sequence(best - F.lit(10 * step), best + F.lit(10 * step), F.lit(step))
@@ -100,6 +113,7 @@ def exp_fit(means: DataFrame) -> DataFrame:
         F.col("_best.a").alias("a"),
         (F.col("_best.k") * F.lit(DECAY_UNIT)).alias("b"),
         F.col("_best.c").alias("c"),
+        F.col("_edge").alias("edge"),
     )
 
 

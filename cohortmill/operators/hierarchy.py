@@ -24,7 +24,7 @@ def _own_keys_present(keys: list[str]) -> str:
     return " AND ".join(f"(_rolled_{name} = 1 OR {name} IS NOT NULL)" for name in keys)
 
 
-def promoted_rollup(base: DataFrame, dedupe: str = "rows") -> DataFrame:
+def promoted_rollup(base: DataFrame, dedupe: str = "rows", keep: list[str] | None = None) -> DataFrame:
     """Base rows together with their roll-ups, labels promoted one level down.
 
     Levels: referred class (class := refer class), category (class := category), department (class and
@@ -34,7 +34,17 @@ def promoted_rollup(base: DataFrame, dedupe: str = "rows") -> DataFrame:
     ``dedupe='rows'`` drops full-row duplicates; ``'measures'`` compares labels and the seven measures
     only, so that a roll-up equal to its base row does not count twice. ``rollup_level`` tells the
     finest level a row came from.
+
+    ``keep`` names the columns the result needs, labels and measures among them. The others still tell rows
+    apart, by a 64-bit hash next to the labels and exact measures, so that they are neither shuffled nor written.
     """
+    if keep is not None:
+        rest = [name for name in base.columns if name not in keep]
+        marks = F.lit(None).cast("bigint")
+        if rest:
+            missing = [F.col(name).isNull() for name in rest]
+            marks = F.when(~F.forall(F.array(*missing), lambda gone: gone), F.xxhash64(*rest, *missing))
+        base = base.select(*keep, marks.alias("_rest"))
     klass_refer = HIERARCHY[0][1]
     tails = []
     for start in range(1, len(HIERARCHY)):
@@ -43,7 +53,9 @@ def promoted_rollup(base: DataFrame, dedupe: str = "rows") -> DataFrame:
     sets = [[*labels, "type", "ds"] for labels in sets]
     rollup_keys = sets[0]
 
-    rolled = base.groupingSets(sets, *rollup_keys).agg(*totals(MEASURES), *_marks(rollup_keys[:-2]))
+    # Sums compose: the levels are built over one row per referred class and day, not over the base rows.
+    finest = base.groupBy(*rollup_keys).agg(*totals(MEASURES))
+    rolled = finest.groupingSets(sets, *rollup_keys).agg(*totals(MEASURES), *_marks(rollup_keys[:-2]))
 
     rolled = rolled.where(_own_keys_present(rollup_keys[:-2]) + " AND type IS NOT NULL AND ds IS NOT NULL")
 
@@ -66,12 +78,12 @@ def promoted_rollup(base: DataFrame, dedupe: str = "rows") -> DataFrame:
     )
     rows = base.withColumn(LEVEL, F.lit(0)).unionByName(rollups, allowMissingColumns=True)
     if dedupe == "rows":
-        return rows.groupBy(*base.columns).agg(F.min(LEVEL).alias(LEVEL))
+        return rows.groupBy(*base.columns).agg(F.min(LEVEL).alias(LEVEL)).drop("_rest")
     if dedupe == "measures":
         same = ["type", "ds", *COMPUTE_COLS, *REFER_COLS, *MEASURES]
         others = [name for name in base.columns if name not in same]
         finest = [F.min_by(name, LEVEL).alias(name) for name in others]
-        return rows.groupBy(*same).agg(*finest, F.min(LEVEL).alias(LEVEL)).select(*base.columns, LEVEL)
+        return rows.groupBy(*same).agg(*finest, F.min(LEVEL).alias(LEVEL)).select(*base.columns, LEVEL).drop("_rest")
     raise ValueError(f"unknown dedupe {dedupe!r}")
 
 
@@ -83,7 +95,8 @@ def suffix_daily(rows: DataFrame, dims: list[str] = DIMENSIONS) -> DataFrame:
     """
     kept = dims[1:]
     sets = [["type", "ds", *level] for level in coarse_first_levels(dims)]
-    daily = rows.groupingSets(sets, "type", "ds", *kept).agg(*totals(MEASURES), *_marks(kept))
+    finest = rows.groupBy("type", "ds", *kept).agg(*totals(MEASURES))
+    daily = finest.groupingSets(sets, "type", "ds", *kept).agg(*totals(MEASURES), *_marks(kept))
     level = " + ".join(f"cast(1 - _rolled_{name} as int)" for name in kept)
     labels = [f"CASE WHEN _rolled_{name} = 1 THEN '{ROLLED_UP}' ELSE {name} END AS {name}" for name in kept]
     return daily.where(_own_keys_present(kept) + " AND type IS NOT NULL AND ds IS NOT NULL").selectExpr(

@@ -6,7 +6,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from cohortmill.sources.checkpoints import written
 
 # Fixed values of the split: seed, and the share of rows set aside.
 SPLIT_SEED = 1
@@ -26,24 +27,20 @@ def split_lookup(spark: SparkSession, max_rows: int) -> DataFrame:
     return spark.createDataFrame(masks, "n bigint, mask string")
 
 
-def _is_train(size: Column, position: Column) -> Column:
-    """Train membership computed in the tasks, for groups of any size.
+def _train_rows(sizes: DataFrame) -> DataFrame:
+    """``(n, position)`` of the train rows for each group size ``n``, drawn once per size.
 
     The function is self-contained, so executors need not have this package installed.
     """
     seed, share = SPLIT_SEED, TEST_SHARE
 
-    def membership(sizes: pd.Series, positions: pd.Series) -> pd.Series:
-        n, at = sizes.to_numpy(), positions.to_numpy()
-        result = np.zeros(len(n), dtype=bool)
-        for group_size in np.unique(n):
-            mask = np.ones(group_size, dtype=bool)
-            mask[np.random.RandomState(seed).permutation(group_size)[: int(np.ceil(group_size * share))]] = False
-            rows = n == group_size
-            result[rows] = mask[at[rows]]
-        return pd.Series(result)
+    def drawn(batches):
+        for batch in batches:
+            for n in batch["n"]:
+                order = np.random.RandomState(seed).permutation(n)
+                yield pd.DataFrame({"n": n, "position": order[int(np.ceil(n * share)) :]})
 
-    return F.pandas_udf(membership, T.BooleanType())(size, position)
+    return sizes.mapInPandas(drawn, "n bigint, position bigint")
 
 
 def with_split(
@@ -52,26 +49,30 @@ def with_split(
     """Add ``n``, ``position`` and ``is_train`` for the sample rows of each group.
 
     ``position`` counts the sample rows in the given order. With ``max_rows``, a proven bound of the
-    sample size per group, membership comes from a broadcast lookup of ``max_rows`` short strings;
-    without a bound it is computed in the tasks. Rows outside the sample are never train rows.
+    sample size per group, membership comes from a broadcast lookup of ``max_rows`` short strings, and a
+    larger group is an error; without a bound it is drawn once for each size that occurs and joined by size
+    and position. Rows outside the sample are never train rows.
     """
     group = Window.partitionBy(*keys)
     before = group.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = F.when(sample, 1).otherwise(0)
     rows = df.withColumns(
-        {"n": F.sum(counted).over(group), "position": F.sum(counted).over(before) - 1, "_sampled": sample}
+        {"n": F.sum(counted).over(group), "position": F.sum(counted).over(before) - 1, "_sampled": F.coalesce(sample, F.lit(False))}
     )
     if split == "none":
         return rows.withColumn("is_train", F.col("_sampled") & (F.col("n") > 1)).drop("_sampled")
     if split != "seeded":
         raise ValueError(f"unknown split {split!r}")
     if max_rows is None:
-        # Rows outside the sample ask about a group of one, whose only row is never a train row.
-        size = F.when(F.col("_sampled"), F.col("n")).otherwise(F.lit(1))
-        position = F.when(F.col("_sampled"), F.col("position")).otherwise(F.lit(0))
-        return rows.withColumn("is_train", _is_train(size, position)).drop("_sampled")
+        sizes = df.where(sample).groupBy(*keys).agg(F.count("*").alias("n")).select("n").distinct()
+        train = written(_train_rows(sizes)).withColumn("_train", F.lit(True))
+        chosen = F.col("_sampled") & F.coalesce(F.col("_train"), F.lit(False))
+        return rows.join(train, ["n", "position"], "left").withColumn("is_train", chosen).drop("_sampled", "_train")
     lookup = F.broadcast(split_lookup(df.sparkSession, max_rows))
-    train = F.col("_sampled") & (F.substring("mask", F.col("position").cast("int") + 1, F.lit(1)) == "1")
+    drawn = F.substring("mask", F.col("position").cast("int") + 1, F.lit(1)) == "1"
+    beyond = F.raise_error(F.lit(f"a group has more than {max_rows} sample rows"))
+    drawn = F.when(F.col("n") > max_rows, beyond.cast("boolean")).otherwise(drawn)
+    train = F.when(F.col("_sampled"), drawn).otherwise(F.lit(False))
     return rows.join(lookup, "n", "left").withColumn("is_train", train).drop("mask", "_sampled")
 
 

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame
 
 from cohortmill.functions.dates import CURVE_START, YEAR_WINDOW_FLOOR, DateWindow, ReferenceWindows
 from cohortmill.operators import coefficients, curve, hierarchy, ledger, values
+from cohortmill.schema import COMPUTE_COLS, MEASURES, REFER_COLS
 from cohortmill.sources import sinks
 from cohortmill.sources.checkpoints import written
+from cohortmill.sources.tables import profit_rows, read_table
 
 DEFAULT_FLOOR = DateWindow(*YEAR_WINDOW_FLOOR)
 
@@ -31,7 +33,8 @@ class ChannelValues:
 
     @cached_property
     def rolled(self) -> DataFrame:
-        return written(hierarchy.promoted_rollup(self.base, self.dedupe))
+        keep = ["type", "ds", *COMPUTE_COLS, *REFER_COLS, *MEASURES]
+        return written(hierarchy.promoted_rollup(self.base, self.dedupe, keep))
 
     @cached_property
     def coefs(self) -> DataFrame:
@@ -74,27 +77,53 @@ class SuffixValues:
         return values.suffix_report(self.values)
 
 
-def run_channel_values(base: DataFrame, mode: str, t: dt.date, report_path: str, coef_path: str | None = None):
-    """Value the cohort of a run and replace its partition of the report."""
-    job = ChannelValues(base, ReferenceWindows.for_run(mode, t))
+Period = tuple[dt.date, dt.date]
+
+
+def run_windows(mode: str, t: dt.date, period: Period | None = None) -> ReferenceWindows:
+    """Windows of a run at day ``t``, or of an explicit first and last day, as re-runs and back-fills need."""
+    return ReferenceWindows.for_run(mode, t) if period is None else ReferenceWindows.of(*period)
+
+
+def _put(df: DataFrame, target: str, mode: str, windows: ReferenceWindows) -> None:
+    """Replace the run's partition of a path (a name with a slash) or of a catalog table."""
+    put = sinks.overwrite_partition if "/" in target else sinks.overwrite_table_partition
+    put(df, target, mode, windows.cohort.label)
+
+
+def run_channel_values(
+    base: DataFrame,
+    mode: str,
+    t: dt.date,
+    target: str,
+    coef_path: str | None = None,
+    period: Period | None = None,
+):
+    """Scan the base table, value the cohort of a run and replace its partition of the report."""
+    job = ChannelValues(profit_rows(base), run_windows(mode, t, period))
     if coef_path is not None:
         sinks.dump_csv(job.repaired, coef_path)
-    sinks.overwrite_partition(job.report, report_path, mode, job.windows.cohort.label)
+    _put(job.report, target, mode, job.windows)
 
 
-def run_suffix_values(rows: DataFrame, mode: str, t: dt.date, report_path: str):
+def run_suffix_values(rows: DataFrame, mode: str, t: dt.date, target: str, period: Period | None = None):
     """The same over the six-dimension hierarchy."""
-    job = SuffixValues(rows, ReferenceWindows.for_run(mode, t))
-    sinks.overwrite_partition(job.report, report_path, mode, job.windows.cohort.label)
+    job = SuffixValues(profit_rows(rows), run_windows(mode, t, period))
+    _put(job.report, target, mode, job.windows)
 
 
 def run_margin_curve(
-    base: DataFrame, mode: str, t: dt.date, curve_path: str, curve_start: dt.date = CURVE_START
+    base: DataFrame,
+    mode: str,
+    t: dt.date,
+    target: str,
+    curve_start: dt.date = CURVE_START,
+    period: Period | None = None,
 ):
     """Compute the margin share curve of a run and replace its partition."""
-    windows = ReferenceWindows.for_run(mode, t)
-    shares = curve.margin_share(base, curve.curve_days(windows.curve.hi, curve_start))
-    sinks.overwrite_partition(shares, curve_path, mode, windows.cohort.label)
+    windows = run_windows(mode, t, period)
+    shares = curve.margin_share(profit_rows(base), curve.curve_days(windows.curve.hi, curve_start))
+    _put(shares, target, mode, windows)
 
 
 def run_ledger(
@@ -104,8 +133,19 @@ def run_ledger(
     rejects_table: str | None = None,
     order: str = "seq",
     scope: str = "incremental",
+    previous: str | None = None,
 ):
-    """Match payouts to incomes and replace the result table."""
+    """Match payouts to incomes and replace the result table, which may be the ``previous`` one.
+
+    ``previous`` names the stored result of an earlier run, whose open rows come first. Rows that take no part
+    are written to ``rejects_table``; without one, a run that has such rows fails.
+    """
+    if previous is not None:
+        income = ledger.open_balance(read_table(income.sparkSession, previous)).unionByName(income)
+    rejects = ledger.rejected(income, payout, order)
     if rejects_table is not None:
-        sinks.overwrite_table(ledger.rejected(income, payout), rejects_table)
-    sinks.overwrite_table(ledger.match(income, payout, order, scope), table)
+        sinks.overwrite_table(rejects, rejects_table)
+    elif not rejects.isEmpty():
+        raise ValueError("some rows take no part in matching; name a rejects_table for them")
+    # Written first, as the result may replace what it was made from.
+    sinks.overwrite_table(written(ledger.match(income, payout, order, scope)), table)

@@ -45,7 +45,7 @@ def overwrite_table_partition(df: DataFrame, table: str, freq_type: str, ds: str
         rows.write.format("parquet").partitionBy("freq_type", "ds").saveAsTable(table)
         return
     body = ", ".join(f"`{name}`" for name in spark.table(table).columns if name not in ("freq_type", "ds"))
-    freq_text, ds_text = (value.replace("'", "\\'") for value in (freq_type, ds))
+    freq_text, ds_text = (value.replace("\\", "\\\\").replace("'", "\\'") for value in (freq_type, ds))
     # Naming the partition replaces it alone, whatever the session's overwrite mode.
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION (freq_type = '{freq_text}', ds = '{ds_text}') "
