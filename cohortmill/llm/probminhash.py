@@ -11,11 +11,12 @@ Documents with one text are one node. Signatures are cut into bands; nodes with
 Pairs in buckets are verified on their whole texts: a pair is linked where the probability Jaccard or the
 Jaccard similarity of the shingles reaches the threshold. Classes are the connected components of the links.
 
-Buckets may be large, so pairs are made in rounds. In each round every bucket that holds more than one class
-so far picks leaders, one at first and four times as many each round, and pairs them with the members of
-other classes; then its leaders have met all others and leave it. The rounds end when no bucket holds
-members of different classes that have not met, so no pair that shares a bucket is left out, and a large
-group of copies needs few pairs.
+Buckets may be large, so not every pair in them is made. First the members of a bucket meet its leader, the
+node that shares buckets with most others: one pair a member. Nodes that are tied by such pairs, similar or
+not, are one cluster. Where a cluster of three nodes or more is not one class by then, all its texts are
+compared with each other, in blocks: a node goes once to each pair of blocks that its own is part of, a task
+compares two blocks at a time, and gives back no more links than tie its classes. So no two nodes that share
+a bucket are left uncompared, no pairs are written out, and no task holds more than two blocks.
 
 With the default 24 bands of 5, a pair at the threshold of 0.8 shares no bucket with a chance of 7 in 100,000.
 
@@ -46,6 +47,10 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
 #: Shingles that are worked on at a time.
 SLICE = 300_000
+#: Characters of the texts of a block; one longer text is a block of its own, more or less.
+BLOCK_CHARS = 500_000
+#: Shingles of two blocks that are compared at a time.
+COLUMNS = 4096
 
 
 class _WordHashes(dict):
@@ -214,44 +219,115 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of common shingles of each text on the left with each on the right.
+
+    Products of 0/1 matrices over slices of the shingles that occur on both sides.
+    """
+    result = np.zeros((len(left), len(right)), np.float32)
+    own, other = (np.concatenate([np.zeros(0, np.uint64), *side]) for side in (left, right))
+    shared = np.intersect1d(own, other)
+    for start in range(0, len(shared), COLUMNS):
+        part = shared[start : start + COLUMNS]
+        sides = []
+        for texts, every in ((left, own), (right, other)):
+            rows = np.repeat(np.arange(len(texts)), [len(text) for text in texts])
+            at = np.minimum(np.searchsorted(part, every), len(part) - 1)
+            hit = part[at] == every
+            matrix = np.zeros((len(texts), len(part)), np.float32)
+            matrix[rows[hit], at[hit]] = 1.0
+            sides.append(matrix)
+        result += sides[0] @ sides[1].T
+    return result
+
+
+def _links_between(left: list[tuple], right: list[tuple], threshold: float, inside: bool) -> list[tuple[int, int]]:
+    """Links (class, class) that tie the classes of similar texts of two blocks, given as (class, shingles, weights)."""
+    common = _overlaps([hashes for _, hashes, _ in left], [hashes for _, hashes, _ in right])
+    sizes = [np.array([len(hashes) for _, hashes, _ in side], np.float32) for side in (left, right)]
+    union = np.maximum(sizes[0][:, None] + sizes[1][None, :] - common, 1.0)
+    weighted = [np.array([len(w) > 0 and w.max() > 1.0 for _, _, w in side], bool) for side in (left, right)]
+    similar = common >= (threshold - 1e-6) * union
+    unsure = (common > 0) & (weighted[0][:, None] | weighted[1][None, :]) & ~similar
+    roots: dict[int, int] = {}
+
+    def root(name: int) -> int:
+        while roots.setdefault(name, name) != name:
+            name = roots[name]
+        return name
+
+    links = []
+    for rows, sure in ((np.argwhere(similar), True), (np.argwhere(unsure), False)):
+        for i, j in rows:
+            if inside and i >= j:
+                continue
+            a, b = root(left[i][0]), root(right[j][0])
+            if a != b and (sure or similarity(left[i][1:], right[j][1:]) >= threshold - 1e-12):
+                roots[max(a, b)] = min(a, b)
+                links.append((min(a, b), max(a, b)))
+    return links
+
+
+def _compared(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between the classes of similar texts of a cluster; nodes: (node, cluster, class)."""
+    sized = nodes.join(texts.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node")).drop("_node")
+    sized = written(sized.withColumn("chars", F.length("text")))
+    blocks = sized.groupBy(F.col("cluster").alias("_cluster")).agg(F.ceil(F.sum("chars") / BLOCK_CHARS).alias("blocks"))
+    dealt = sized.join(blocks, F.col("cluster") == F.col("_cluster"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.greatest(F.col("blocks"), F.lit(1))))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    keys = ["cluster", "low", "high"]
+    met = dealt.select(
+        "cluster",
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        "block",
+        "class",
+        "text",
+    )
+    met = met.repartition(*keys).sortWithinPartitions(*keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def answer(key: tuple, sides: tuple[list, list]) -> pa.RecordBatch:
+            inside = key[1] == key[2]
+            links = _links_between(sides[0], sides[0] if inside else sides[1], threshold, inside)
+            ends = [pa.array([link[end] for link in links], pa.int64()) for end in (0, 1)]
+            return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+
+        current, sides = None, ([], [])
+        for batch in batches:
+            for row in zip(*[batch.column(name) for name in (*keys, "block", "class", "text")], strict=True):
+                key = tuple(value.as_py() for value in row[:3])
+                if key != current:
+                    if current is not None:
+                        yield answer(current, sides)
+                    current, sides = key, ([], [])
+                sides[row[3].as_py() != key[1]].append((row[4].as_py(), *shingles(row[5].as_py())))
+        if current is not None:
+            yield answer(current, sides)
+
+    return met.mapInArrow(run, "a long, b long")
+
+
 def _classes(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """(node, class) of all nodes in buckets."""
-    classes = written(members.select("node").distinct().withColumn("class", F.col("node")))
-    met = None
-    leaders_now = 1
-    while True:
-        labelled = members.join(classes.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node")).drop("_node")
-        several = labelled.groupBy(F.col("bucket").alias("_bucket"))
-        several = several.agg(F.min("class").alias("_least"), F.max("class").alias("_most")).filter("_least <> _most")
-        labelled = labelled.join(several, F.col("bucket") == F.col("_bucket")).drop("_bucket", "_least", "_most")
-        labelled = written(labelled)
-        share = F.pmod(F.xxhash64("node", F.lit(leaders_now)), F.lit(leaders_now))
-        best = F.max(F.struct("degree", "node", "class")).alias("best")
-        leaders = labelled.groupBy(F.col("bucket").alias("_bucket"), share.alias("_share")).agg(best)
-        leaders = written(
-            leaders.select("_bucket", F.col("best.node").alias("leader"), F.col("best.class").alias("leader_class"))
-        )
-        meeting = labelled.join(leaders, F.col("bucket") == F.col("_bucket")).filter("class <> leader_class")
-        pairs = meeting.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-        if met is not None:
-            pairs = pairs.join(met, ["a", "b"], "left_anti")
-        pairs = written(pairs)
-        links = written(_verified(pairs, texts, threshold))
-        met = pairs if met is None else met.unionByName(pairs)
-        of = classes.withColumnsRenamed({"node": "_node", "class": "_class"})
-        linked = links
-        for end in ("a", "b"):
-            linked = linked.join(of, F.col(end) == F.col("_node")).drop(end, "_node").withColumnRenamed("_class", end)
-        roots = components(linked).withColumnRenamed("node", "_old")
-        joined = classes.join(roots, F.col("class") == F.col("_old"), "left")
-        classes = written(joined.select("node", F.coalesce("root", "class").alias("class")))
-        members = labelled.drop("class").join(
-            leaders.select(F.col("_bucket").alias("bucket"), F.col("leader").alias("node")), ["bucket", "node"], "left_anti"
-        )
-        members = written(members)
-        if members.isEmpty():
-            return classes
-        leaders_now *= 4
+    leaders = members.groupBy(F.col("bucket").alias("_bucket")).agg(F.max(F.struct("degree", "node")).alias("best"))
+    leaders = leaders.select("_bucket", F.col("best.node").alias("leader"))
+    meeting = members.join(leaders, F.col("bucket") == F.col("_bucket")).filter("node <> leader")
+    pairs = written(
+        meeting.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    )
+    clusters = components(pairs).withColumnRenamed("root", "cluster")
+    similar = components(_verified(pairs, texts, threshold)).withColumnRenamed("node", "_node")
+    nodes = clusters.join(similar, F.col("node") == F.col("_node"), "left")
+    nodes = written(nodes.select("node", "cluster", F.coalesce("root", "node").alias("class")))
+    several = nodes.groupBy(F.col("cluster").alias("_cluster"))
+    several = several.agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("least"), F.max("class").alias("most"))
+    several = several.filter("n > 2 and least <> most").select("_cluster")
+    open_nodes = nodes.join(several, F.col("cluster") == F.col("_cluster")).select("node", "cluster", "class")
+    ties = components(_compared(open_nodes, texts, threshold)).withColumnRenamed("node", "_class")
+    tied = nodes.join(ties, F.col("class") == F.col("_class"), "left")
+    return written(tied.select("node", F.coalesce("root", "class").alias("class")))
 
 
 def classify(
