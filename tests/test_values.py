@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import numpy as np
 import pytest
@@ -160,3 +161,26 @@ def test_plans_stay_in_the_jvm_and_push_down(spark, plan_of, tmp_path):
     totals = plan_of(measures.window_totals(rows, ["type"], windows))
     assert "GreaterThanOrEqual(ds,2016-06-20)" in totals and "LessThanOrEqual(ds,2017-07-07)" in totals
     assert set(COMPUTE_COLS).isdisjoint(rows.columns)
+
+
+def test_train_rows_are_a_fixed_permutation():
+    """Golden: what a permutation with seed 1 leaves after a quarter, rounded up, is set aside."""
+    golden = {1: "0", 2: "01", 3: "011", 4: "1110", 5: "10011", 8: "11011110", 10: "1101110110"}
+    for n, wanted in golden.items():
+        assert "".join("1" if train else "0" for train in regression.train_mask(n)) == wanted, n
+
+
+def test_a_group_beyond_the_bound_is_an_error(spark):
+    rows = spark.range(10).select(F.lit("k").alias("k"), F.col("id").alias("o"))
+    split = regression.with_split(rows, ["k"], ["o"], F.lit(True), max_rows=5)
+    with pytest.raises(Exception, match="more than 5 sample rows"):
+        split.collect()
+
+
+@pytest.mark.parametrize("decay", [4.0, 1.0, -0.8])
+def test_decay_beyond_the_first_grid(spark, decay):
+    points = [3.0 * math.exp(-decay * x) + 1.0 for x in range(36)]
+    row = [("c", *points)]
+    means = spark.createDataFrame(row, "channel_category string, " + ", ".join(f"m{n} double" for n in MONTHS))
+    fit = curve.exp_fit(means).first()
+    assert not fit.edge and fit.b == pytest.approx(decay, abs=1e-3 if decay > 0 else 1e-2)
