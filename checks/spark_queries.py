@@ -11,7 +11,7 @@ from cohortmill.functions import dates
 from cohortmill.functions.ratios import value_model
 from cohortmill.operators import coefficients as coef
 from cohortmill.operators import curve, fallback, hierarchy, ledger, measures, outliers, regression, values
-from cohortmill.plans.jobs import ChannelValues, SuffixValues
+from cohortmill.plans.jobs import ChannelValues, SuffixValues, run_windows
 from cohortmill.schema import COMPUTE_COLS, DIMENSIONS, MEASURES
 from cohortmill.sources import fixtures as fx
 from cohortmill.sources.checkpoints import written
@@ -227,6 +227,12 @@ def report_three_types(spark, sf):
     return rounded(_channel(spark, sf).report)
 
 
+def report_explicit_period(spark, sf):
+    """A back-fill: the mode and day of the run are others, its period is given."""
+    windows = run_windows("monthly", dt.date(2001, 7, 1), (WINDOWS.cohort.lo, WINDOWS.cohort.hi))
+    return rounded(_channel(spark, sf, windows=windows).report)
+
+
 def report_three_types_v2(spark, sf):
     return rounded(_suffix(spark, sf).report)
 
@@ -343,6 +349,7 @@ QUERIES = {
         user_value_v1,
         user_value_v2,
         report_three_types,
+        report_explicit_period,
         report_three_types_v2,
         monthly_per_head,
         curve_mean,

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohortmill.operators import ledger
@@ -60,3 +61,33 @@ def test_jobs_write_their_results(spark, tmp_path):
     jobs.run_ledger(income, payout, "ledger_result", "ledger_rejects")
     assert spark.table("ledger_result").count() == ledger.match(income, payout).count()
     assert spark.table("ledger_rejects").count() == 0
+
+
+def test_jobs_scan_take_a_period_and_write_tables(spark, tmp_path):
+    foreign = {"type": F.lit("foreign_profit")}
+    days = fx.channel_sum(spark, SF)
+    days = days.unionByName(days.limit(20).withColumns(foreign))
+    days = days.withColumn("ds", F.col("ds").cast("string"))
+    days = days.unionByName(days.limit(1).withColumn("ds", F.lit("")))
+    days.write.parquet(str(tmp_path / "sums"))
+    rows = spark.read.parquet(str(tmp_path / "sums"))
+    period = (fx.WINDOWS.cohort.lo, fx.WINDOWS.cohort.hi)
+    jobs.run_suffix_values(rows, "monthly", dt.date(2001, 9, 1), "suffix_reports", period=period)
+    report = spark.table("suffix_reports")
+    assert {(r.freq_type, r.ds) for r in report.select("freq_type", "ds").distinct().collect()} == {
+        ("monthly", fx.WINDOWS.cohort.label)
+    }
+    assert report.count() > 5
+
+
+def test_ledger_job_goes_on_from_its_own_table(spark):
+    income, payout = fx.income(spark, SF), fx.payout(spark, SF)
+    early = F.col("ds") < F.lit(dt.date(2024, 1, 16))
+    jobs.run_ledger(income.where(early), payout.where(early), "runs", scope="full")
+    wanted = ledger.resume(spark.table("runs"), income.where(~early), payout.where(~early))
+    wanted = sorted(map(str, wanted.collect()))
+    jobs.run_ledger(income.where(~early), payout.where(~early), "runs", previous="runs")
+    assert sorted(map(str, spark.table("runs").collect())) == wanted
+    bad = income.limit(1).withColumn("show_amount", F.lit(-1).cast("decimal(18,2)"))
+    with pytest.raises(ValueError, match="rejects_table"):
+        jobs.run_ledger(bad, payout, "runs")
