@@ -1,16 +1,16 @@
 """Personal data, and the terms around it that disclose it.
 
 Protected entities are the values of emails, addresses of machines, cards and phone numbers, found by
-patterns. A term near an entity, in its words within ``reach`` characters, discloses it by as much as the
+patterns. A term of a document that holds an entity discloses it by as much as the
 corpus says: pointwise mutual information log2(N * n(term, entity) / (n(term) * n(entity))), where n counts
-documents. It is set against the information content of the entity, log2(N / n(entity)): a share of 1 says
+documents; with ``reach``, only terms within so many characters are together with an entity. It is set against the information content of the entity, log2(N / n(entity)): a share of 1 says
 that the term occurs with the entity alone. Terms with a share of ``threshold`` or more are personal
-data too where they stand near their entity: those that occur with it alone are removed, the others
-generalised to a placeholder. Estimates need evidence, so a term counts only if it is near the entity in
-``evidence`` different texts; copies of one text are one piece of evidence. Built-in functions only.
+data too wherever they stand, in documents without the entity as well: those that occur with it alone are
+removed, the others generalised to a placeholder. Estimates need evidence, so a term counts only if it is
+with the entity in ``evidence`` different texts; copies of one text are one piece of evidence. Built-in functions only.
 
 Counts of terms and pairs are made with partial counts first; nothing pairs words with each other, and only
-words near an entity meet it, so the work follows the text.
+words of a text that holds an entity meet it.
 
 Defined results: null text has no spans. Terms are runs of letters in lower case, of three letters or more. An
 entity that every document holds can't be disclosed. Repeated rows get the same spans; they are counted as
@@ -19,6 +19,8 @@ documents. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +29,6 @@ from cohortmill.llm.common import documents_only
 from cohortmill.llm.spans import Rule
 from cohortmill.sources.checkpoints import written
 
-REACH = 60
 THRESHOLD = 0.8
 EVIDENCE = 3
 TERM = r"\p{L}{3,}"
@@ -77,7 +78,7 @@ def personal(docs: DataFrame) -> DataFrame:
     return placed.select("doc_id", "text", F.concat(*[F.col(f"_{kind}") for kind in KINDS]).alias("found"))
 
 
-def near_terms(found: DataFrame, reach: int = REACH) -> DataFrame:
+def near_terms(found: DataFrame, reach: int) -> DataFrame:
     """Terms near entities: doc_id, digest (of the text), entity, term, start, end. Words cut by the end of what is
     read, or part of a span, are left out with their neighbourhood's edge."""
     mentions = found.filter(F.size("found") > 0)
@@ -110,25 +111,72 @@ def near_terms(found: DataFrame, reach: int = REACH) -> DataFrame:
     return terms.filter(apart).drop("close")
 
 
+def _hashes(text: str) -> Column:
+    """The different terms of a text as numbers, which are quicker to tell apart than words."""
+    words = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    return F.array_distinct(F.transform(words, lambda word: F.xxhash64(F.lower(word))))
+
+
+def _replaced(changes: Column, by: Callable[[Column, Column], Column]) -> Column:
+    """The text with spans (start, end, ...), in order, replaced by what ``by`` gives for a span and where it begins."""
+    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("parts"))
+
+    def step(state: Column, change: Column) -> Column:
+        width = F.greatest(change["start"] - state["at"], F.lit(0)).cast("int")
+        gap = F.substring(F.col("text"), (state["at"] + 1).cast("int"), width)
+        # Where a span begins inside the last one, only what goes beyond it is left out.
+        parts = F.concat(state["parts"], F.array(gap, by(change, state["at"])))
+        return F.struct(F.greatest(state["at"], change["end"]).alias("at"), parts.alias("parts"))
+
+    def finish(state: Column) -> Column:
+        return F.concat(F.array_join(state["parts"], ""), F.substring(F.col("text"), (state["at"] + 1).cast("int"), F.length("text")))
+
+    return F.aggregate(changes, begin, step, finish)
+
+
+def _masked() -> Column:
+    """The text with blanks in place of the entities, so that their own words are no terms."""
+    spans_of = F.array_sort(F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    return _replaced(
+        spans_of, lambda s, at: F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], at), F.lit(0)).cast("int"))
+    )
+
+
 def disclosing(
-    docs: DataFrame, found: DataFrame, near: DataFrame, threshold: float = THRESHOLD, evidence: int = EVIDENCE
+    docs: DataFrame, found: DataFrame, reach: int | None = None, threshold: float = THRESHOLD, evidence: int = EVIDENCE
 ) -> DataFrame:
-    """(entity, term, share, alone): pairs whose share of disclosure reaches the threshold."""
-    # Documents are counted by rows of the table: a document holds a pair, an entity or a term once.
-    held = near.select("doc_id", "digest", "entity", "term").distinct()
-    rows_of = found.groupBy("doc_id", F.md5(F.col("text").cast("binary")).alias("digest")).agg(F.count(F.lit(1)).alias("rows"))
-    rows_of = rows_of.withColumnsRenamed({"doc_id": "_doc_id", "digest": "_digest"})
-    match = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("digest") == F.col("_digest"))
-    by_text = held.join(rows_of, match).groupBy("entity", "term", "digest").agg(F.sum("rows").alias("rows"))
-    pairs = by_text.groupBy("entity", "term").agg(F.sum("rows").alias("n_both"), F.count(F.lit(1)).alias("texts"))
-    pairs = written(pairs.filter(F.col("texts") >= evidence))
+    """(entity, term, share, alone): pairs whose share of disclosure reaches the threshold; found: doc_id, digest,
+    text, found and masked."""
+    # Documents are counted by rows of the table, each text once with the number of its rows.
+    rows_of = found.groupBy(F.col("digest").alias("_digest")).agg(F.count(F.lit(1)).alias("rows"))
+    texts = found.dropDuplicates(["digest"]).join(rows_of, F.col("digest") == F.col("_digest")).drop("_digest")
+    texts = written(texts)
     each = F.array_distinct(F.transform("found", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))
-    entities = found.select(F.explode(each).alias("_entity")).groupBy("_entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    # All documents' terms, each once a document, as numbers, which are quicker to tell apart than words.
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-    counts = docs.select(F.explode(F.transform(words, lambda word: F.xxhash64(word))).alias("_term"))
-    counts = counts.groupBy("_term").agg(F.count(F.lit(1)).alias("n_term"))
-    joined = pairs.join(entities, F.col("entity") == F.col("_entity"))
+    held = texts.select("digest", "rows", F.explode(each).alias("entity"))
+    entities = held.groupBy(F.col("entity").alias("_entity"))
+    entities = written(entities.agg(F.sum("rows").alias("n_entity"), F.count(F.lit(1)).alias("texts")))
+    # An entity in fewer texts can't be near any term in as many.
+    known = held.join(entities.filter(F.col("texts") >= evidence).select("_entity"), F.col("entity") == F.col("_entity"))
+    if reach is None:
+        known = known.groupBy(F.col("digest").alias("_digest")).agg(F.collect_list("entity").alias("entities"))
+        words = F.regexp_extract_all("masked", F.lit(TERM), F.lit(0))
+        terms = F.array_distinct(F.transform(words, lambda word: F.lower(word)))
+        both = texts.select("digest", "rows", terms.alias("terms")).join(known, F.col("digest") == F.col("_digest"))
+        both = both.select("rows", "terms", F.explode("entities").alias("entity"))
+        both = both.select("rows", "entity", F.explode("terms").alias("term"))
+    else:
+        near = near_terms(texts, reach).select(F.col("digest").alias("_digest"), F.col("entity").alias("_near"), "term").distinct()
+        match = (F.col("digest") == F.col("_digest")) & (F.col("entity") == F.col("_near"))
+        both = known.join(near, match).select("rows", "entity", "term")
+    pairs = both.groupBy("entity", "term").agg(F.sum("rows").alias("n_both"), F.count(F.lit(1)).alias("texts"))
+    pairs = written(pairs.filter(F.col("texts") >= evidence))
+    # All documents' terms, each once a document; then what the words of entities change in that.
+    counts = docs.select(F.explode(_hashes("text")).alias("_term"), F.lit(1).alias("n"))
+    own = texts.select("rows", _hashes("text").alias("text"), _hashes("masked").alias("masked"))
+    less = own.select(F.explode(F.array_except("text", "masked")).alias("_term"), (-F.col("rows")).alias("n"))
+    more = own.select(F.explode(F.array_except("masked", "text")).alias("_term"), F.col("rows").alias("n"))
+    counts = counts.unionByName(less).unionByName(more).groupBy("_term").agg(F.sum("n").alias("n_term"))
+    joined = pairs.join(entities.drop("texts"), F.col("entity") == F.col("_entity"))
     joined = joined.join(counts, F.xxhash64("term") == F.col("_term"))
     total = docs.count()
     content = F.log2(F.lit(float(total)) / F.col("n_entity"))
@@ -139,30 +187,42 @@ def disclosing(
 
 
 def detect(
-    docs: DataFrame, reach: int = REACH, threshold: float = THRESHOLD, evidence: int = EVIDENCE
+    docs: DataFrame, reach: int | None = None, threshold: float = THRESHOLD, evidence: int = EVIDENCE
 ) -> DataFrame:
-    """Per row: doc_id, text, found (spans with values), terms (places of disclosing terms, and whether they occur
-    with the entity alone)."""
-    all_found = personal(docs)
-    found = written(all_found.filter(F.size("found") > 0))
-    near = written(near_terms(found, reach))
-    told = written(disclosing(docs, found, near, threshold, evidence)).withColumnsRenamed(
-        {"entity": "_entity", "term": "_term"}
-    )
-    marked = near.join(told, (F.col("entity") == F.col("_entity")) & (F.col("term") == F.col("_term")))
-    # A term near several entities is one span, removed if any of them occurs with it alone.
-    marked = marked.groupBy("doc_id", "digest", "start", "end").agg(F.max("alone").alias("alone"))
-    place = F.struct("start", "end", "alone")
-    terms = marked.groupBy(F.col("doc_id").alias("_doc_id"), F.col("digest").alias("_digest"))
-    terms = terms.agg(F.array_sort(F.collect_list(place)).alias("terms"))
-    keyed = found.withColumn("digest", F.md5(F.col("text").cast("binary")))
+    """Per document with any: doc_id, text, found (spans with values), terms (places of disclosing terms, and whether
+    they occur with an entity alone). Repeated rows are one."""
+    found = personal(docs).filter(F.size("found") > 0)
+    found = written(found.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "text", "found", _masked().alias("masked")))
+    # A term that discloses several entities is removed if it occurs with any of them alone.
+    told = disclosing(docs, found, reach, threshold, evidence).groupBy("term").agg(F.max("alone").alias("alone"))
+    told = written(told).select(F.xxhash64("term").alias("_hash"), "term", "alone")
+    texts = docs.filter(F.col("text").isNotNull())
+    texts = texts.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "text")
+    # The terms that a text holds, no more than its words; then their places in these texts only.
+    holding = texts.select("doc_id", "digest", F.explode(_hashes("text")).alias("hash"))
+    holding = holding.join(told, F.col("hash") == F.col("_hash")).groupBy(F.col("doc_id").alias("_doc_id"), F.col("digest").alias("_digest"))
+    holding = holding.agg(F.collect_set(F.struct("term", "alone")).alias("held"))
     match = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("digest") == F.col("_digest"))
+    holding = written(texts.join(holding, match).drop("_doc_id", "_digest").dropDuplicates(["doc_id", "digest"]))
+    entities = found.dropDuplicates(["doc_id", "digest"]).withColumnsRenamed({"doc_id": "_doc_id", "digest": "_digest"})
+    masks = entities.select("_doc_id", "_digest", "masked")
+    placed = holding.join(masks, match, "left").withColumn("masked", F.coalesce("masked", "text"))
+    placed = spans.found(placed.drop("_doc_id", "_digest"), "masked", [Rule("term", TERM, r"\p{L}{3}")])
+    alone = F.map_from_entries("held")
+    marks = F.transform("_term", lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), alone[F.lower(t["value"])].alias("alone")))
+    placed = placed.select("doc_id", "digest", "text", F.filter(marks, lambda t: t["alone"].isNotNull()).alias("terms"))
+    entities = entities.select("_doc_id", "_digest", F.col("text").alias("_text"), "found")
+    both = placed.join(entities, match, "full")
     empty = F.array().cast("array<struct<start:bigint,end:bigint,alone:boolean>>")
-    with_terms = keyed.join(terms, match, "left").select("doc_id", "text", "found", F.coalesce("terms", empty).alias("terms"))
-    return with_terms
+    return both.select(
+        F.coalesce("doc_id", "_doc_id").alias("doc_id"),
+        F.coalesce("text", "_text").alias("text"),
+        F.coalesce("found", spans.none()).alias("found"),
+        F.coalesce("terms", empty).alias("terms"),
+    )
 
 
-def report(docs: DataFrame, reach: int = REACH, threshold: float = THRESHOLD, evidence: int = EVIDENCE) -> DataFrame:
+def report(docs: DataFrame, reach: int | None = None, threshold: float = THRESHOLD, evidence: int = EVIDENCE) -> DataFrame:
     """Counts per kind, digest of the plain patterns' spans, and all spans as text, for every row."""
     named = detect(docs, reach, threshold, evidence)
     terms = F.transform(
@@ -188,7 +248,7 @@ def report(docs: DataFrame, reach: int = REACH, threshold: float = THRESHOLD, ev
     )
 
 
-def sanitised(docs: DataFrame, reach: int = REACH, threshold: float = THRESHOLD, evidence: int = EVIDENCE) -> DataFrame:
+def sanitised(docs: DataFrame, reach: int | None = None, threshold: float = THRESHOLD, evidence: int = EVIDENCE) -> DataFrame:
     """The documents with placeholders for entities and generalised terms, and without removed terms."""
     docs = documents_only(docs)
     named = detect(docs, reach, threshold, evidence)
@@ -203,20 +263,8 @@ def sanitised(docs: DataFrame, reach: int = REACH, threshold: float = THRESHOLD,
         ),
     )
     changes = F.array_sort(F.concat(entity, term))
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(state: Column, change: Column) -> Column:
-        width = F.greatest(change["start"] - state["at"], F.lit(0)).cast("int")
-        gap = F.substring(F.col("text"), (state["at"] + 1).cast("int"), width)
-        # Where a span begins inside the last one, only what goes beyond it is left out.
-        inside = change["start"] < state["at"]
-        parts = F.when(inside, state["parts"]).otherwise(F.concat(state["parts"], F.array(gap, change["by"])))
-        return F.struct(F.greatest(state["at"], change["end"]).alias("at"), parts.alias("parts"))
-
-    def finish(state: Column) -> Column:
-        return F.concat(F.array_join(state["parts"], ""), F.substring(F.col("text"), (state["at"] + 1).cast("int"), F.length("text")))
-
-    clean = named.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), F.aggregate(changes, begin, step, finish).alias("_clean"))
+    text = _replaced(changes, lambda change, at: F.when(change["start"] < at, "").otherwise(change["by"]))
+    clean = named.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), text.alias("_clean"))
     clean = clean.dropDuplicates(["doc_id", "digest"]).withColumnsRenamed({"doc_id": "_doc_id", "digest": "_digest"})
     keyed = docs.withColumn("_own", F.md5(F.col("text").cast("binary")))
     match = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_own") == F.col("_digest"))

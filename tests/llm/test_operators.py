@@ -160,6 +160,20 @@ def test_terms_that_disclose(make):
     assert clean[0] == "call  about row 0 at <EMAIL> please thanks" and clean[100] == far[0][1]
 
 
+def test_terms_that_disclose_anywhere(make):
+    gap = "and much more was said of other things " * 4
+    held = [(n, f"zorblax {gap} {n} ann@x.org then {gap} zorblax, bye") for n in range(6)]
+    held += [(50, held[0][1]), (60, "Zorblax was seen with quibnor, much said")]
+    far = [(100 + n, f"and much more was said of other things then bye at number {n}") for n in range(300)]
+    rows = {row.doc_id: row for row in disclosure.report(make(held + far)).collect()}
+    assert all(rows[n].n_term == 2 and rows[n].spans.count("term:0:7") == 1 for n in (*range(6), 50))
+    assert rows[60].spans == "term:0:7" and rows[60].n_email == 0
+    assert all(rows[100 + n].spans == "" for n in range(300))
+    clean = {row.doc_id: row.text for row in disclosure.sanitised(make(held + far)).collect()}
+    assert clean[60] == "<TERM> was seen with quibnor, much said" and clean[100] == far[0][1]
+    assert clean[1] == f"<TERM> {gap} 1 <EMAIL> then {gap} <TERM>, bye"
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(1)
     for _ in range(20):
