@@ -6,8 +6,11 @@ corpus says: pointwise mutual information log2(N * n(term, entity) / (n(term) *
 documents; with ``reach``, only terms within so many characters are together with an entity. It is set against the information content of the entity, log2(N / n(entity)): a share of 1 says
 that the term occurs with the entity alone. Terms with a share of ``threshold`` or more are personal
 data too wherever they stand, in documents without the entity as well: those that occur with it alone are
-removed, the others generalised to a placeholder. Estimates need evidence, so a term counts only if it is
-with the entity in ``evidence`` different texts; copies of one text are one piece of evidence. Built-in functions only.
+removed, the others generalised to a placeholder. Terms are counted with each value, and with its classes: mail domain,
+/24 net, first six digits of a card, first four of a phone number, and the kind, so that values in one text
+are protected by what the corpus says of their like. A share is smoothed by its evidence: each text with both
+after the first says log2(N / n(entity)) bits against chance, and the share is multiplied by
+bits / (bits + ``smoothing``); copies of one text are one piece of evidence. Built-in functions only.
 
 Counts of terms and pairs are made with partial counts first; nothing pairs words with each other, and only
 words of a text that holds an entity meet it.
@@ -30,7 +33,8 @@ from cohortmill.llm.spans import Rule
 from cohortmill.sources.checkpoints import written
 
 THRESHOLD = 0.8
-EVIDENCE = 3
+#: Bits of evidence that halve a share, see above.
+SMOOTHING = 3.0
 TERM = r"\p{L}{3,}"
 PLACEHOLDERS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>", "term": "<TERM>"}
 
@@ -78,6 +82,18 @@ def personal(docs: DataFrame) -> DataFrame:
     return placed.select("doc_id", "text", F.concat(*[F.col(f"_{kind}") for kind in KINDS]).alias("found"))
 
 
+def _names(span: Column) -> Column:
+    """What a span's value stands for: itself, its class (mail domain, /24 net, first digits) and its kind."""
+    kind, value = span["kind"], F.lower(span["value"])
+    part = (
+        F.when(kind == "email", F.substring_index(value, "@", -1))
+        .when(kind == "ip", F.substring_index(value, ".", 3))
+        .when(kind == "card", F.substring(_digits(value), 1, 6))
+        .otherwise(F.substring(_digits(value), 1, 4))
+    )
+    return F.array(F.concat_ws(":", kind, value), F.concat_ws(" of ", kind, part), kind)
+
+
 def near_terms(found: DataFrame, reach: int) -> DataFrame:
     """Terms near entities: doc_id, digest (of the text), entity, term, start, end. Words cut by the end of what is
     read, or part of a span, are left out with their neighbourhood's edge."""
@@ -92,7 +108,7 @@ def near_terms(found: DataFrame, reach: int) -> DataFrame:
         F.struct(before.cast("bigint").alias("base"), left.alias("side")),
         F.struct(F.col("span.end").alias("base"), right.alias("side")),
     )
-    entity = F.concat_ws(":", F.col("span.kind"), F.lower("span.value"))
+    entity = _names(F.col("span"))
     inner = F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
     close = F.filter(
         inner, lambda s: (s["end"] >= F.col("span.start") - reach - 1) & (s["start"] <= F.col("span.end") + reach + 1)
@@ -108,7 +124,8 @@ def near_terms(found: DataFrame, reach: int) -> DataFrame:
         "doc_id", "digest", "entity", "close", F.lower("t.value").alias("term"), start.alias("start"), end.alias("end")
     )
     apart = ~F.exists("close", lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"]))
-    return terms.filter(apart).drop("close")
+    terms = terms.filter(apart).drop("close")
+    return terms.withColumn("entity", F.explode("entity"))
 
 
 def _hashes(text: str) -> Column:
@@ -143,7 +160,7 @@ def _masked() -> Column:
 
 
 def disclosing(
-    docs: DataFrame, found: DataFrame, reach: int | None = None, threshold: float = THRESHOLD, evidence: int = EVIDENCE
+    docs: DataFrame, found: DataFrame, reach: int | None = None, threshold: float = THRESHOLD, smoothing: float = SMOOTHING
 ) -> DataFrame:
     """(entity, term, share, alone): pairs whose share of disclosure reaches the threshold; found: doc_id, digest,
     text, found and masked."""
@@ -151,12 +168,12 @@ def disclosing(
     rows_of = found.groupBy(F.col("digest").alias("_digest")).agg(F.count(F.lit(1)).alias("rows"))
     texts = found.dropDuplicates(["digest"]).join(rows_of, F.col("digest") == F.col("_digest")).drop("_digest")
     texts = written(texts)
-    each = F.array_distinct(F.transform("found", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))
+    each = F.array_distinct(F.flatten(F.transform("found", _names)))
     held = texts.select("digest", "rows", F.explode(each).alias("entity"))
     entities = held.groupBy(F.col("entity").alias("_entity"))
     entities = written(entities.agg(F.sum("rows").alias("n_entity"), F.count(F.lit(1)).alias("texts")))
-    # An entity in fewer texts can't be near any term in as many.
-    known = held.join(entities.filter(F.col("texts") >= evidence).select("_entity"), F.col("entity") == F.col("_entity"))
+    # What a single text holds has no evidence, so a share of 0.
+    known = held.join(entities.filter("texts > 1").select("_entity"), F.col("entity") == F.col("_entity"))
     if reach is None:
         known = known.groupBy(F.col("digest").alias("_digest")).agg(F.collect_list("entity").alias("entities"))
         words = F.regexp_extract_all("masked", F.lit(TERM), F.lit(0))
@@ -169,7 +186,7 @@ def disclosing(
         match = (F.col("digest") == F.col("_digest")) & (F.col("entity") == F.col("_near"))
         both = known.join(near, match).select("rows", "entity", "term")
     pairs = both.groupBy("entity", "term").agg(F.sum("rows").alias("n_both"), F.count(F.lit(1)).alias("texts"))
-    pairs = written(pairs.filter(F.col("texts") >= evidence))
+    pairs = written(pairs.filter("texts > 1"))
     # All documents' terms, each once a document; then what the words of entities change in that.
     counts = docs.select(F.explode(_hashes("text")).alias("_term"), F.lit(1).alias("n"))
     own = texts.select("rows", _hashes("text").alias("text"), _hashes("masked").alias("masked"))
@@ -181,20 +198,21 @@ def disclosing(
     total = docs.count()
     content = F.log2(F.lit(float(total)) / F.col("n_entity"))
     information = F.log2(F.lit(float(total)) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    share = F.when(content > 0, information / content).otherwise(F.lit(0.0))
+    bits = (F.col("texts") - 1) * content
+    share = F.when(content > 0, information / content * bits / (bits + smoothing)).otherwise(F.lit(0.0))
     told = joined.select("entity", "term", share.alias("share"), (F.col("n_both") >= F.col("n_term")).alias("alone"))
     return told.filter(F.col("share") >= threshold)
 
 
 def detect(
-    docs: DataFrame, reach: int | None = None, threshold: float = THRESHOLD, evidence: int = EVIDENCE
+    docs: DataFrame, reach: int | None = None, threshold: float = THRESHOLD, smoothing: float = SMOOTHING
 ) -> DataFrame:
     """Per document with any: doc_id, text, found (spans with values), terms (places of disclosing terms, and whether
     they occur with an entity alone). Repeated rows are one."""
     found = personal(docs).filter(F.size("found") > 0)
     found = written(found.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "text", "found", _masked().alias("masked")))
     # A term that discloses several entities is removed if it occurs with any of them alone.
-    told = disclosing(docs, found, reach, threshold, evidence).groupBy("term").agg(F.max("alone").alias("alone"))
+    told = disclosing(docs, found, reach, threshold, smoothing).groupBy("term").agg(F.max("alone").alias("alone"))
     told = written(told).select(F.xxhash64("term").alias("_hash"), "term", "alone")
     texts = docs.filter(F.col("text").isNotNull())
     texts = texts.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "text")
@@ -222,9 +240,9 @@ def detect(
     )
 
 
-def report(docs: DataFrame, reach: int | None = None, threshold: float = THRESHOLD, evidence: int = EVIDENCE) -> DataFrame:
+def report(docs: DataFrame, reach: int | None = None, threshold: float = THRESHOLD, smoothing: float = SMOOTHING) -> DataFrame:
     """Counts per kind, digest of the plain patterns' spans, and all spans as text, for every row."""
-    named = detect(docs, reach, threshold, evidence)
+    named = detect(docs, reach, threshold, smoothing)
     terms = F.transform(
         "terms", lambda t: F.struct(F.lit("term").alias("kind"), t["start"].alias("start"), t["end"].alias("end"))
     )
@@ -248,10 +266,10 @@ def report(docs: DataFrame, reach: int | None = None, threshold: float = THRESHO
     )
 
 
-def sanitised(docs: DataFrame, reach: int | None = None, threshold: float = THRESHOLD, evidence: int = EVIDENCE) -> DataFrame:
+def sanitised(docs: DataFrame, reach: int | None = None, threshold: float = THRESHOLD, smoothing: float = SMOOTHING) -> DataFrame:
     """The documents with placeholders for entities and generalised terms, and without removed terms."""
     docs = documents_only(docs)
-    named = detect(docs, reach, threshold, evidence)
+    named = detect(docs, reach, threshold, smoothing)
     holder = F.create_map(*[F.lit(x) for pair in PLACEHOLDERS.items() for x in pair])
     entity = F.transform(
         "found", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), holder[s["kind"]].alias("by"))

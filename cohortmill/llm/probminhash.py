@@ -18,7 +18,9 @@ compared with each other, in blocks: a node goes once to each pair of blocks tha
 compares two blocks at a time, and gives back no more links than tie its classes. So no two nodes that share
 a bucket are left uncompared, no pairs are written out, and no task holds more than two blocks.
 
-With the default 24 bands of 5, a pair at the threshold of 0.8 shares no bucket with a chance of 7 in 100,000.
+A text that repeats a shingle has a second signature with all weights 1, with bands of its own, so that pairs
+are found by either similarity. With the default 24 bands of 5, a pair at the threshold of 0.8 in one of them
+shares no bucket with a chance of 7 in 100,000.
 
 Words: Unicode lower case, cut at white space. A text of fewer than five words is one shingle.
 
@@ -144,7 +146,8 @@ def similarity(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.
 
 
 def signed(docs: DataFrame, size: int = BANDS * ROWS) -> DataFrame:
-    """Per document with a text: doc_id, digest of the text, n_shingles, signature."""
+    """Per document with a text: doc_id, digest of the text, n_shingles, signature; where a shingle repeats, the
+    signature with all weights 1 comes behind it."""
     schema = T.StructType(
         [
             docs.schema["doc_id"],
@@ -154,6 +157,15 @@ def signed(docs: DataFrame, size: int = BANDS * ROWS) -> DataFrame:
         ]
     )
 
+    def both(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+        repeating = [n for n, (_, weights) in enumerate(parts) if len(weights) and weights.max() > 1.0]
+        rows = list(signatures(parts, size)) if parts else []
+        if repeating:
+            plain = signatures([(parts[n][0], np.ones(len(parts[n][0]))) for n in repeating], size)
+            for n, row in zip(repeating, plain, strict=True):
+                rows[n] = np.concatenate([rows[n], row])
+        return rows
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             blocks, lengths, waiting = [], [], []
@@ -161,11 +173,11 @@ def signed(docs: DataFrame, size: int = BANDS * ROWS) -> DataFrame:
                 waiting.append(shingles(text.as_py()))
                 lengths.append(len(waiting[-1][0]))
                 if sum(len(hashes) for hashes, _ in waiting[-1:]) and sum(lengths[-len(waiting) :]) > SLICE:
-                    blocks.append(signatures(waiting, size))
+                    blocks += both(waiting)
                     waiting = []
-            blocks.append(signatures(waiting, size) if waiting else np.zeros((0, size), np.uint32))
-            values = pa.array(np.concatenate(blocks).view(np.int32).ravel())
-            offsets = pa.array(np.arange(0, len(lengths) * size + 1, size, dtype=np.int32))
+            blocks += both(waiting)
+            values = pa.array(np.concatenate([np.zeros(0, np.uint32), *blocks]).view(np.int32))
+            offsets = pa.array(np.cumsum([0, *map(len, blocks)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -183,8 +195,10 @@ def signed(docs: DataFrame, size: int = BANDS * ROWS) -> DataFrame:
 
 def _buckets(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
     """(bucket, node, degree) of buckets with two nodes or more; degree: nodes that a node shares buckets with."""
-    numbers = F.sequence(F.lit(0), F.lit(bands - 1))
-    keys = F.transform(numbers, lambda band: F.xxhash64(band, F.slice("signature", band * rows + 1, rows)))
+    # Bands of either signature meet those of either.
+    numbers = F.sequence(F.lit(0), (F.size("signature") / rows).cast("int") - 1)
+    keys = F.transform(numbers, lambda band: F.xxhash64(band % bands, F.slice("signature", band * rows + 1, rows)))
+    keys = F.array_distinct(keys)
     banded = nodes.filter("n_shingles > 0").select(F.explode(keys).alias("bucket"), "node")
     sizes = banded.groupBy(F.col("bucket").alias("_bucket")).agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = written(banded.join(sizes, F.col("bucket") == F.col("_bucket")).drop("_bucket"))

@@ -174,6 +174,17 @@ def test_terms_that_disclose_anywhere(make):
     assert clean[1] == f"<TERM> {gap} 1 <EMAIL> then {gap} <TERM>, bye"
 
 
+def test_terms_that_disclose_a_class_of_single_values(make):
+    held = [(n, f"zorblax row {n} is for u{n}@corp.org") for n in range(6)] + [(9, "quibnor row is for solo@else.net")]
+    far = [(100 + n, f"the row at number {n} is for all") for n in range(300)]
+    rows = {row.doc_id: row for row in disclosure.report(make(held + far)).collect()}
+    assert all(rows[n].n_term == 1 and ",term:0:7" in rows[n].spans for n in range(6))
+    assert rows[9].n_term == 0  # one text is no evidence
+    assert all(rows[100 + n].spans == "" for n in range(300))
+    near = {row.doc_id: row.n_term for row in disclosure.report(make(held + far), reach=60).collect()}
+    assert all(near[n] == 1 for n in range(6))
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(1)
     for _ in range(20):
