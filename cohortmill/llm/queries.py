@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmill.llm import blob_ledger, chunks, decontam, disclosure, fertility, langid, line_chunks, mixing, probminhash, sharding
+from cohortmill.llm import (
+    blob_ledger,
+    chunks,
+    decontam,
+    disclosure,
+    fertility,
+    langid,
+    line_chunks,
+    mixing,
+    periodic,
+    probminhash,
+    sharding,
+)
 from cohortmill.llm.common import table
 from cohortmill.sources.checkpoints import new_path
 
@@ -67,6 +79,11 @@ def op10_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_minimizer_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in all documents, one of ten with a planted tail."""
+    return periodic.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_automaton_decontamination": op1_automaton_decontamination,
     "op2_gear_chunk_dedup": op2_gear_chunk_dedup,
@@ -78,4 +95,5 @@ QUERIES = {
     "op8_line_chunk_dedup": op8_line_chunk_dedup,
     "op9_cross_parsing_language": op9_cross_parsing_language,
     "op10_jump_sharding": op10_jump_sharding,
+    "op11_minimizer_runs": op11_minimizer_runs,
 }

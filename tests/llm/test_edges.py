@@ -4,7 +4,7 @@ import pytest
 
 import corpus_pipeline
 from cohortmill.llm import blob_ledger, chunks, decontam, disclosure, fertility, langid, line_chunks, mixing
-from cohortmill.llm import probminhash, sharding
+from cohortmill.llm import periodic, probminhash, sharding
 from cohortmill.sources.checkpoints import new_path
 
 ITEMS = "item_id long, text string"
@@ -30,6 +30,8 @@ PER_ROW = {
     "8": line_chunks.deduplicated,
     "9": langid.predict,
     "10": lambda docs: sharding.assign(docs, 8),
+    "11": periodic.report,
+    "11 text": periodic.detect,
     "2 text": chunks.deduplicated,
 }
 OTHERS = {

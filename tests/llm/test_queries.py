@@ -10,13 +10,14 @@ from cohortmill.llm.oracles import ORACLES
 from cohortmill.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-# No SQL for hashes drawn in numpy, trained models, tokenisers and iterations; see test_operators.
+# No SQL for hashes drawn in numpy, trained models, tokenisers, iterations and searches of all periods; see the operators' tests.
 WITHOUT_SQL = {
     "op2_gear_chunk_dedup",
     "op4_disclosure_personal_data",
     "op5_probminhash_dedup",
     "op7_tokeniser_fertility",
     "op9_cross_parsing_language",
+    "op11_minimizer_runs",
 }
 
 
