@@ -180,4 +180,34 @@ SELECT d.doc_id, d.n + 1 AS size, c.text_crc32, 'key' AS law, CAST(a.shard AS IN
 FROM digits d JOIN summed c USING (row_id) JOIN now8 a USING (row_id) JOIN grown9 b USING (row_id)
 """
 
-ORACLES = {"op1_automaton_decontamination": OP1, "op3_blob_ledger_secrets": OP3, "op6_fair_mixing": OP6, "op8_line_chunk_dedup": OP8, "op10_jump_sharding": OP10}
+OP13 = """
+WITH pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM (SELECT coalesce(lang, 'und') AS lang, text FROM documents WHERE text IS NOT NULL)),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+placed AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM worded WHERE len(words) > 0),
+totals AS (SELECT lang, count(*) AS n FROM placed GROUP BY lang),
+runs AS (
+  SELECT lang, size, words[i:i + size - 1] AS run FROM placed, range(1, 6) AS s(size) WHERE i + size - 1 <= len(words)),
+counts AS (SELECT lang, size, run, count(*) AS f FROM runs GROUP BY lang, size, run HAVING count(*) >= 100),
+candidates AS (SELECT lang, size, run, f AS a FROM counts WHERE size > 1),
+longer AS (
+  SELECT DISTINCT lang, part, f FROM (
+    SELECT lang, f, unnest([run[1:size - 1], run[2:size]]) AS part FROM counts WHERE size > 2)),
+own AS (
+  SELECT * FROM candidates c WHERE NOT EXISTS (SELECT 1 FROM longer o WHERE o.lang = c.lang AND o.part = c.run AND o.f = c.a)),
+cuts AS (
+  SELECT o.lang, o.run, o.a, k, p.f AS l, q.f AS r, n,
+         (1000::HUGEINT * o.a * n) // (p.f::HUGEINT * q.f) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM own) o JOIN totals t ON t.lang = o.lang
+  JOIN counts p ON p.lang = o.lang AND p.run = o.run[1:k]
+  JOIN counts q ON q.lang = o.lang AND q.run = o.run[k + 1:o.size]),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, run ORDER BY score, k) = 1),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM (SELECT *, array_to_string(run, ' ') AS phrase FROM lowest))
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
+ORACLES = {"op1_automaton_decontamination": OP1, "op3_blob_ledger_secrets": OP3, "op6_fair_mixing": OP6, "op8_line_chunk_dedup": OP8, "op10_jump_sharding": OP10, "op13_automaton_phrases": OP13}

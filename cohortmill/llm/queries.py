@@ -15,6 +15,7 @@ from cohortmill.llm import (
     line_chunks,
     mixing,
     periodic,
+    phrases,
     probminhash,
     sharding,
 )
@@ -84,6 +85,11 @@ def op11_minimizer_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.report(table(spark, sf_dir, "documents"))
 
 
+def op13_automaton_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first phrases of each language by the weight of their lowest cut."""
+    return phrases.top(phrases.collocations(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_automaton_decontamination": op1_automaton_decontamination,
     "op2_gear_chunk_dedup": op2_gear_chunk_dedup,
@@ -96,4 +102,5 @@ QUERIES = {
     "op9_cross_parsing_language": op9_cross_parsing_language,
     "op10_jump_sharding": op10_jump_sharding,
     "op11_minimizer_runs": op11_minimizer_runs,
+    "op13_automaton_phrases": op13_automaton_phrases,
 }

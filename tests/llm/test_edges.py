@@ -4,7 +4,7 @@ import pytest
 
 import corpus_pipeline
 from cohortmill.llm import blob_ledger, chunks, decontam, disclosure, fertility, langid, line_chunks, mixing
-from cohortmill.llm import periodic, probminhash, sharding
+from cohortmill.llm import periodic, phrases, probminhash, sharding
 from cohortmill.sources.checkpoints import new_path
 
 ITEMS = "item_id long, text string"
@@ -40,6 +40,7 @@ OTHERS = {
     "5 text": probminhash.deduplicated,
     "6 text": mixing.mixed_documents,
     "9 text": langid.known_language,
+    "13": lambda docs: phrases.top(phrases.collocations(docs, least=2)),
 }
 
 
