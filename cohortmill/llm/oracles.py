@@ -180,6 +180,25 @@ SELECT d.doc_id, d.n + 1 AS size, c.text_crc32, 'key' AS law, CAST(a.shard AS IN
 FROM digits d JOIN summed c USING (row_id) JOIN now8 a USING (row_id) JOIN grown9 b USING (row_id)
 """
 
+# The main text of the given pages, which all have one article of known markup.
+OP12 = """
+WITH articles AS (
+  SELECT row_number() OVER () AS row_id, page_id, url, regexp_extract(html, '<article>(.*?)</article>', 1, 's') AS article FROM pages),
+blocks AS (
+  SELECT row_id, generate_subscripts(parts, 1) AS i, unnest(parts) AS part
+  FROM (SELECT row_id, regexp_split_to_array(article, '</?(?:p|h[1-6]|div|ul|li)\\b[^>]*>') AS parts FROM articles)),
+plain AS (
+  SELECT row_id, i, trim(regexp_replace(
+    replace(replace(replace(replace(replace(replace(
+      regexp_replace(regexp_replace(part, '<br[^>]*>', ' ', 'g'), '</?[a-zA-Z][^>]*>', '', 'g'),
+      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), '&amp', '&'),
+    '\\s+', ' ', 'g')) AS line
+  FROM blocks),
+joined AS (SELECT row_id, string_agg(line, chr(10) ORDER BY i) AS text FROM plain WHERE line <> '' GROUP BY row_id)
+SELECT page_id, url, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars
+FROM articles LEFT JOIN joined USING (row_id)
+"""
+
 OP13 = """
 WITH pieces AS (
   SELECT lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -210,4 +229,4 @@ ranked AS (
 SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
 """
 
-ORACLES = {"op1_automaton_decontamination": OP1, "op3_blob_ledger_secrets": OP3, "op6_fair_mixing": OP6, "op8_line_chunk_dedup": OP8, "op10_jump_sharding": OP10, "op13_automaton_phrases": OP13}
+ORACLES = {"op1_automaton_decontamination": OP1, "op3_blob_ledger_secrets": OP3, "op6_fair_mixing": OP6, "op8_line_chunk_dedup": OP8, "op10_jump_sharding": OP10, "op12_wrapper_extraction": OP12, "op13_automaton_phrases": OP13}

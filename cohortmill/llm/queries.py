@@ -18,6 +18,7 @@ from cohortmill.llm import (
     phrases,
     probminhash,
     sharding,
+    wrappers,
 )
 from cohortmill.llm.common import table
 from cohortmill.sources.checkpoints import new_path
@@ -85,6 +86,11 @@ def op11_minimizer_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.report(table(spark, sf_dir, "documents"))
 
 
+def op12_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages by the wrappers of their hosts."""
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op13_automaton_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first phrases of each language by the weight of their lowest cut."""
     return phrases.top(phrases.collocations(table(spark, sf_dir, "documents")))
@@ -102,5 +108,6 @@ QUERIES = {
     "op9_cross_parsing_language": op9_cross_parsing_language,
     "op10_jump_sharding": op10_jump_sharding,
     "op11_minimizer_runs": op11_minimizer_runs,
+    "op12_wrapper_extraction": op12_wrapper_extraction,
     "op13_automaton_phrases": op13_automaton_phrases,
 }
