@@ -4,7 +4,8 @@ Every word of a text begins a run: itself and the words behind it, up to ``LONGE
 How often a phrase occurs is then the number of runs that begin with it. Runs are the words of a weighted
 acyclic automaton: a state is a phrase, an arc a word, and a state's weight counts the runs through it.
 
-1. Each shard (input partition) counts its runs, a bounded number of words at a time.
+1. Each shard (input partition) gives its runs, a bounded number of words at a time; equal ones are counted before
+   they are shuffled.
 2. The shards' counts are united by prefix range: a range partition over the whole runs, so that a frequent first
    word is cut into several ranges. In a task the sorted runs build the automaton incrementally: a state is
    closed once the runs leave its prefix, and then its weight is final. A task holds one path only. States on the first or
@@ -13,10 +14,10 @@ acyclic automaton: a state is a phrase, an arc a word, and a state's weight coun
    first part of a phrase on its path, one over the backward automaton every last part: the composition gives
    the counts of both parts of all cuts. Parts on the border of a range are looked up by a join.
 
-A frequent phrase has frequent words and pairs of neighbours only. So a first pass counts words and neighbours in
-``2 ** bits`` buckets, up to the threshold, and runs end where a bucket shows that a pair can't be frequent. The sketch has a
-fixed size (one bit a bucket is broadcast); it never hides a frequent phrase, and where the corpus fills all buckets it
-only saves nothing.
+A frequent phrase has frequent words, pairs of neighbours and longer parts only. So two passes count words and pairs, and
+then the longer runs of such pairs, in ``2 ** bits`` buckets each, up to the threshold; runs end where a bucket shows that they
+can't be frequent. The sketches have a fixed size (a bit a bucket is broadcast); they never hide a frequent phrase, and
+where the corpus fills all buckets they only save nothing.
 
 Defined results: null, empty or blank text, and pieces without a word, hold no words. Null lang is ``und``. Repeated rows
 count as often as they occur. Phrases that tie in score and count stand in the order of their bytes. Very long texts are counted whole.
@@ -38,9 +39,11 @@ from cohortmill.sources.checkpoints import written
 LONGEST = 5
 LEAST = 100
 TOP = 2000
-BITS = 22
+BITS = 23
 SHARD_WORDS = 2_000_000
 SLICES = 16
+#: Rows of a batch given back to Spark.
+ROWS = 50_000
 UNKNOWN = "und"
 #: Parts the words of a run. It sorts below every byte of a word, as words have their own two lowest bytes escaped.
 GAP = b"\x00"
@@ -68,42 +71,68 @@ def words_of(text: bytes) -> list[bytes]:
     return plain.replace(END, b" . ").split() + [END]
 
 
-def _bucket(numbers: np.ndarray, bits: int) -> np.ndarray:
+def _mixed(numbers: np.ndarray) -> np.ndarray:
     # An odd multiplier of 64 bits (from the golden ratio), a fixed value of multiplicative hashing.
-    mixed = (numbers ^ (numbers >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+    return (numbers ^ (numbers >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def _possible(flags: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    return ((flags[buckets >> 3] >> (7 - (buckets & 7)).astype(np.uint8)) & 1).astype(bool)
 
 
 class Shard:
     """Words of a language in one array of numbers; END is where a piece ends."""
 
-    def __init__(self, lang: str, words: list[bytes]):
+    def __init__(self, lang: str, words: list[bytes], bits: int):
         coded = pa.array(words, pa.binary()).dictionary_encode()
-        self.lang = lang
+        self.lang, self.bits = lang, bits
         self.words = coded.dictionary.to_pylist()
         self.at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.is_word = np.array([word != END for word in self.words], bool)[self.at]
+        # A number for each word; checksums that start from different values are different numbers.
+        salts = [zlib.crc32(lang.encode(), seed) for seed in (1, 2)]
+        self.numbers = np.array([zlib.crc32(x, salts[0]) << 32 | zlib.crc32(x, salts[1]) for x in self.words], np.uint64)
+        self._following = _mixed(self.numbers)
 
-    def _numbers(self, seed: int) -> np.ndarray:
-        """A number for each word; checksums that start from different values are different numbers."""
-        salt = zlib.crc32(self.lang.encode(), seed)
-        return np.array([zlib.crc32(word, salt) for word in self.words], np.uint64)
+    def _bucket(self, numbers: np.ndarray) -> np.ndarray:
+        return (_mixed(numbers) >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def word_buckets(self, bits: int) -> np.ndarray:
+    def word_buckets(self) -> np.ndarray:
         """Bucket of each different word."""
-        return _bucket(self._numbers(1) << np.uint64(20), bits)
-
-    def pair_buckets(self, bits: int) -> np.ndarray:
-        """Bucket of the pair that begins at each place but the last."""
-        first, second = self._numbers(2), self._numbers(3)
-        return _bucket((first << np.uint64(32))[self.at[:-1]] ^ second[self.at[1:]], bits)
+        return self._bucket(self.numbers)
 
     def pairs(self) -> np.ndarray:
         """Where two words of one piece stand side by side."""
-        return self.is_word[:-1] & self.is_word[1:]
-
-
-def shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[Shard]:
+        return np.flatnonzero(self.is_word[:-1] & self.is_word[1:])
+
+    def pair_buckets(self, begins: np.ndarray) -> np.ndarray:
+        return self._bucket(self._chain(self.numbers[self.at[begins]], begins + 1))
+
+    def _chain(self, numbers: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Numbers of runs that one more word joins."""
+        return _mixed(numbers) + self._following[self.at[places]]
+
+    def reach(self, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where possible pairs begin, and how many words they chain up to from there, LONGEST at most."""
+        goes_on = np.zeros(len(self.at) + LONGEST, bool)
+        pairs = self.pairs()
+        begins = pairs[_possible(flags, self.pair_buckets(pairs))]
+        goes_on[begins] = True
+        length = np.full(len(begins), 2)
+        for depth in range(2, LONGEST):
+            length += (length == depth) & goes_on[begins + depth - 1]
+        return begins, length
+
+    def longer(self, begins: np.ndarray, length: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For 3 words and more: depth, the runs that reach it by ``length`` (read anew each time), and their buckets."""
+        numbers = self._chain(self.numbers[self.at[begins]], begins + 1)
+        for depth in range(3, LONGEST + 1):
+            rows = np.flatnonzero(length >= depth)
+            numbers[rows] = self._chain(numbers[rows], begins[rows] + depth - 1)
+            yield depth, rows, self._bucket(numbers[rows])
+
+
+def shards(batches: Iterator[pa.RecordBatch], shard_words: int, bits: int) -> Iterator[Shard]:
     """Words by language, some ``shard_words`` at a time."""
     held: dict[str, list[bytes]] = {}
     total = 0
@@ -115,105 +144,95 @@ def shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[Shar
             total += len(words)
             if total >= shard_words:
                 for name in sorted(held):
-                    yield Shard(name, held.pop(name))
+                    yield Shard(name, held.pop(name), bits)
                 total = 0
     for name in sorted(held):
-        yield Shard(name, held[name])
+        yield Shard(name, held[name], bits)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.col("text")).filter(F.col("text").isNotNull())
 
 
-def possible_pairs(docs: DataFrame, least: int, bits: int, shard_words: int) -> bytes:
-    """One bit a bucket: whether its pairs together occur ``least`` times. Counts stop at ``least``, which sums keep true."""
+def sketch(docs: DataFrame, least: int, bits: int, shard_words: int, pairs: bytes | None = None) -> bytes:
+    """One bit a bucket: whether its words and pairs together occur ``least`` times; with ``pairs``, the flags of a first
+    sketch, whether its longer runs do. Counts stop at ``least``, which keeps sums true."""
     size = 1 << bits
     if size < 8 * SLICES:
         raise ValueError("the sketch has a byte of flags for each slice at least: seven bits or more")
+    if not 0 < least < 1 << 15:
+        return bytes([255]) * (size // 8)
+    kind = np.uint8 if least < 1 << 8 else np.uint16
+    shared = docs.sparkSession.sparkContext.broadcast(pairs)
+    names = ["slice", "counts"]
+
+    def packed(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
+        found = [pa.array(list(parts), pa.int32()), pa.array([part.tobytes() for part in parts.values()], pa.binary())]
+        return pa.RecordBatch.from_arrays(found, names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(size, np.int64)
-        for shard in shards(batches, shard_words):
-            counts += np.bincount(shard.pair_buckets(bits)[shard.pairs()], minlength=size)
-            np.add.at(counts, shard.word_buckets(bits), np.bincount(shard.at, minlength=len(shard.words)))
+        counts = np.zeros(size, np.int32)
+        for shard in shards(batches, shard_words, bits):
+            if shared.value is None:
+                np.add.at(counts, shard.word_buckets(), np.bincount(shard.at, minlength=len(shard.words)))
+                counts += np.bincount(shard.pair_buckets(shard.pairs()), minlength=size).astype(np.int32)
+            else:
+                begins, length = shard.reach(np.frombuffer(shared.value, np.uint8))
+                buckets = [found for _, _, found in shard.longer(begins, length)]
+                counts += np.bincount(np.concatenate(buckets), minlength=size).astype(np.int32)
             np.minimum(counts, least, out=counts)
-        parts = counts.astype(np.uint16).reshape(SLICES, -1)
         if counts.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(SLICES), pa.int32()), pa.array([part.tobytes() for part in parts], pa.binary())], ["slice", "counts"]
-            )
+            yield packed(dict(enumerate(counts.astype(kind).reshape(SLICES, -1))))
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column("slice").to_pylist(), batch.column("counts"), strict=True):
-                more = np.frombuffer(counts.as_py(), np.uint16)
+                more = np.frombuffer(counts.as_py(), kind).astype(np.uint16)
                 sums[part] = np.minimum(sums[part] + more, least) if part in sums else more
         if sums:
-            names = sorted(sums)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.int32()), pa.array([sums[name].astype(np.uint16).tobytes() for name in names], pa.binary())],
-                ["slice", "counts"],
-            )
-
-    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in add(batches):
-            packed = [np.packbits(np.frombuffer(x.as_py(), np.uint16) >= least).tobytes() for x in batch.column("counts")]
-            yield pa.RecordBatch.from_arrays([batch.column("slice"), pa.array(packed, pa.binary())], ["slice", "counts"])
+            yield packed({part: np.packbits(counts >= least) for part, counts in sorted(sums.items())})
 
-    if not 0 < least < 1 << 15:
-        return bytes([255]) * (size // 8)
     schema = "slice int, counts binary"
-    counted = _texts(docs).mapInArrow(count, schema)
-    flagged = counted.repartition(SLICES, "slice").mapInArrow(flag, schema).collect()
+    flagged = _texts(docs).mapInArrow(count, schema).repartition(SLICES, "slice").mapInArrow(flag, schema).collect()
     found = {row.slice: bytes(row.counts) for row in flagged}
     return b"".join(found.get(part, bytes(size // 8 // SLICES)) for part in range(SLICES))
 
 
-def counted_runs(shard: Shard, possible: np.ndarray, bits: int) -> tuple[list[bytes], list[int]]:
-    """Runs of a shard and how often they occur. A word in no possible pair begins a run of itself, or the empty run
-    if it can't be frequent either."""
-
-    def is_possible(buckets: np.ndarray) -> np.ndarray:
-        return ((possible[buckets >> 3] >> (7 - (buckets & 7)).astype(np.uint8)) & 1).astype(bool)
-
-    at, n, words = shard.at, len(shard.at), shard.words
-    goes_on = np.zeros(n, bool)
-    goes_on[:-1] = shard.pairs() & is_possible(shard.pair_buckets(bits))
-    alone = np.bincount(at[shard.is_word & ~goes_on], minlength=len(words))
-    named = is_possible(shard.word_buckets(bits)) & (alone > 0)
-    runs, weights = [b""], [int(alone[~named].sum())]
-    for word in np.flatnonzero(named).tolist():
-        runs.append(words[word])
-        weights.append(int(alone[word]))
-    begins = np.flatnonzero(goes_on)
-    if not len(begins):
-        return runs, weights
-    codes = np.full((len(begins), LONGEST), -1, np.int64)
-    codes[:, 0] = at[begins]
-    live = np.ones(len(begins), bool)
-    for depth in range(1, LONGEST):
-        codes[live, depth] = at[begins[live] + depth]
-        live &= goes_on[np.minimum(begins + depth, n - 1)]
-    codes = codes[np.lexsort(codes.T[::-1])]
-    firsts = np.flatnonzero(np.concatenate([[True], (codes[1:] != codes[:-1]).any(axis=1)]))
-    runs.extend(GAP.join([words[code] for code in row if code >= 0]) for row in codes[firsts].tolist())
-    weights.extend(np.diff(np.append(firsts, len(codes))).tolist())
-    return runs, weights
-
-
-def shard_counts(docs: DataFrame, possible: bytes, bits: int, shard_words: int) -> DataFrame:
-    """(lang, run, weight) of all shards."""
-    shared = docs.sparkSession.sparkContext.broadcast(possible)
+def runs_of(shard: Shard, pairs: np.ndarray, longer: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """Runs of a shard, each as long as it can be frequent, and how often each entry counts. A word in no possible pair
+    begins a run of itself, or the empty run if it can't be frequent either; both are counted here."""
+    begins, length = shard.reach(pairs)
+    for depth, rows, buckets in shard.longer(begins, length):
+        length[rows[~_possible(longer, buckets)]] = depth - 1
+    alone = shard.is_word.copy()
+    alone[begins] = False
+    alone = np.bincount(shard.at[alone], minlength=len(shard.words))
+    named = np.flatnonzero(_possible(pairs, shard.word_buckets()) & (alone > 0))
+    rest = int(alone.sum() - alone[named].sum())
+    words = shard.words
+    runs = [b"", *[words[word] for word in named.tolist()]]
+    numbers = shard.at.tolist()
+    ends = (begins + length).tolist()
+    runs.extend(GAP.join([words[x] for x in numbers[begin:end]]) for begin, end in zip(begins.tolist(), ends, strict=True))
+    return runs, np.concatenate([[rest], alone[named], np.ones(len(begins), np.int64)])
+
+
+def shard_counts(docs: DataFrame, pairs: bytes, longer: bytes, bits: int, shard_words: int) -> DataFrame:
+    """(lang, run, weight) over all shards."""
+    shared = docs.sparkSession.sparkContext.broadcast((pairs, longer))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.frombuffer(shared.value, np.uint8)
-        for shard in shards(batches, shard_words):
-            runs, weights = counted_runs(shard, flags, bits)
-            columns = [pa.array([shard.lang] * len(runs)), pa.array(runs, pa.binary()).view(pa.string()), pa.array(weights, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "run", "weight"])
+        flags = [np.frombuffer(x, np.uint8) for x in shared.value]
+        for shard in shards(batches, shard_words, bits):
+            runs, weights = runs_of(shard, *flags)
+            for at in range(0, len(runs), ROWS):
+                some = pa.array(runs[at : at + ROWS], pa.binary()).view(pa.string())
+                columns = [pa.array([shard.lang] * len(some)), some, pa.array(weights[at : at + ROWS], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "run", "weight"])
 
-    return _texts(docs).mapInArrow(count, "lang string, run string, weight long")
+    found = _texts(docs).mapInArrow(count, "lang string, run string, weight long")
+    return found.groupBy("lang", "run").agg(F.sum("weight").alias("weight"))
 
 
 class Path:
@@ -250,7 +269,7 @@ def _rows(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
         yield from zip(*[batch.column(name).to_pylist() for name in names], strict=True)
 
 
-def _batched(rows: Iterator[tuple], names: list[str], types: list[pa.DataType], size: int = 20_000) -> Iterator[pa.RecordBatch]:
+def _batched(rows: Iterator[tuple], names: list[str], types: list[pa.DataType], size: int = ROWS) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     for row in rows:
         held.append(row)
@@ -365,8 +384,9 @@ def _wide(count: Column) -> Column:
 def collocations(docs: DataFrame, least: int = LEAST, bits: int = BITS, shard_words: int = SHARD_WORDS) -> DataFrame:
     """All candidates that no longer one replaces: lang, phrase, a, l, r, n, score."""
     docs = docs.select("lang", "text")
-    possible = possible_pairs(docs, least, bits, shard_words)
-    counts = written(shard_counts(docs, possible, bits, shard_words))
+    pairs = sketch(docs, least, bits, shard_words)
+    longer = sketch(docs, least, bits, shard_words, pairs)
+    counts = written(shard_counts(docs, pairs, longer, bits, shard_words))
     # Every word of the corpus begins one run, so a language's words are the sum of all weights.
     totals = written(counts.groupBy("lang").agg(F.sum("weight").alias("n")))
     frequent = written(united(counts, least))
