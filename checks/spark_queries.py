@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,11 @@ from cohortmill.functions.ratios import value_model
 from cohortmill.operators import coefficients as coef
 from cohortmill.operators import curve, fallback, hierarchy, ledger, measures, outliers, regression, values
 from cohortmill.plans.jobs import ChannelValues, SuffixValues, run_windows
+from cohortmill.plans.ledger_runs import LedgerRuns
 from cohortmill.schema import COMPUTE_COLS, DIMENSIONS, MEASURES
 from cohortmill.sources import fixtures as fx
-from cohortmill.sources.checkpoints import written
+from cohortmill.sources import sinks
+from cohortmill.sources.checkpoints import new_path, written
 from cohortmill.sources.sinks import rounded
 from cohortmill.sources.tables import profit_rows
 
@@ -22,6 +25,8 @@ WINDOWS = fx.WINDOWS
 SUPPLIER, AD, LICAI = "e_supplier_profit", "ad_profit", "licai_order_profit"
 # Ledger runs before this day, and from it on, in the two-run query.
 SECOND_RUN = dt.date(2024, 1, 16)
+# First days of the second and third run in the three-run query.
+THREE_RUNS = [dt.date(2024, 1, 11), dt.date(2024, 1, 21)]
 
 COMMON = ["ds", "reg_user_cnt", "user_value", "m_w_ds", "y_m_ds", "y_m_multiple"]
 LINEAR = ["rate_d07", "m_w_coef", "m_w_intercept"]
@@ -320,6 +325,49 @@ def ledger_resume(spark, sf):
     return ledger.resume(first, income.where(late), payout.where(late))
 
 
+def ledger_three_runs(spark, sf):
+    """Three runs by day, each with what the earlier ones left open: all rows at the end, and every run's overdraft."""
+    income, payout = _ledger(spark, sf)
+    runs = LedgerRuns(spark, new_path(spark, "ledger"))
+    edges = [F.lit(dt.date(1, 1, 1)), *[F.lit(day) for day in THREE_RUNS], F.lit(dt.date(9999, 1, 1))]
+    for number, (first, last) in enumerate(zip(edges, edges[1:]), start=1):
+        own = (F.col("ds") >= first) & (F.col("ds") < last)
+        runs.run(number, income.where(own), payout.where(own))
+    rows = runs.result("full").select(F.lit("income").alias("source"), *income.columns)
+    beyond = runs.overdraft().select(
+        F.lit("overdraft").alias("source"),
+        "user_id",
+        F.col("dropped_amount").alias("show_amount"),
+        "payout_id",
+        "payout_type_id",
+        "payout_date",
+    )
+    return rows.unionByName(beyond, allowMissingColumns=True)
+
+
+# Sinks
+
+
+def sink_round_trip(spark, sf):
+    """Two partitions of a result written, the second twice, and read back with the partition's columns, by path and as
+    a catalog table, where each overwrite replaces its own partition alone; and the same rows through CSV files."""
+    body = measures.sums(_base(spark, sf), ["type", "channel_category", "ds"], ["reg_user_cnt", "profit_m01"])
+    body = written(body.withColumnRenamed("ds", "day"))
+    path, name = new_path(spark, "sink"), f"sink_{uuid.uuid4().hex}"
+    spare = body.limit(3)
+    for rows, mode, label in [(body, "daily", "a'b\\c"), (spare, "weekly", "20010101"), (body, "weekly", "20010101")]:
+        sinks.overwrite_partition(rows, path, mode, label)
+        sinks.overwrite_table_partition(rows, name, mode, label)
+    by_path = spark.read.parquet(path).withColumn("kind", F.lit("path"))
+    by_table = written(spark.table(name)).withColumn("kind", F.lit("table"))
+    spark.sql(f"DROP TABLE {name}")
+    found = by_path.withColumn("ds", F.col("ds").cast("string")).unionByName(by_table)
+    sinks.dump_csv(body.select("type", "channel_category", "day", "reg_user_cnt"), f"{path}-csv")
+    schema = "type string, channel_category string, day date, reg_user_cnt long"
+    by_csv = spark.read.schema(schema).option("header", True).csv(f"{path}-csv").withColumn("kind", F.lit("csv"))
+    return found.unionByName(by_csv, allowMissingColumns=True)
+
+
 QUERIES = {
     function.__name__: function
     for function in (
@@ -366,5 +414,7 @@ QUERIES = {
         ledger_match_heavy,
         ledger_full_scope,
         ledger_resume,
+        ledger_three_runs,
+        sink_round_trip,
     )
 }

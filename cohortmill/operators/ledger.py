@@ -19,13 +19,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortmill.operators.running import RADIX_BITS, heavy_keys, running_totals
+from cohortmill.operators.running import RADIX_BITS, running_totals
 from cohortmill.sources.checkpoints import written
 
 USER = "user_id"
 INCOME, PAYOUT = 0, 1
-# Parts that the zero incomes of a heavy user are dealt to.
-EDGE_PARTS = 64
 # Columns a match sets on an income row.
 SET_COLUMNS = ["show_amount", "payout_flag", "payout_id", "payout_type_id", "payout_date"]
 
@@ -89,7 +87,7 @@ def rejected(income: DataFrame, payout: DataFrame, order: str = "seq") -> DataFr
     return incomes.unionByName(bad(payout, "payout", valid_payout(payout), F.col("id").isNotNull()))
 
 
-def _enters(income: DataFrame, order: str) -> Column:
+def enters(income: DataFrame, order: str) -> Column:
     """Open incomes that take part in matching; never null."""
     enters = (F.col("payout_flag") == 0) & F.col(USER).isNotNull() & valid_income(income) & ordered_income(order)
     return F.coalesce(enters, F.lit(False))
@@ -99,7 +97,7 @@ def _entries(income: DataFrame, payout: DataFrame, order: str) -> DataFrame:
     """Open incomes and payouts in one shape; ``_o1, _o2`` is the order within a user and side."""
     first, second = income_order(order)
     kept = [name for name in income.columns if name not in (USER, *SET_COLUMNS)]
-    incomes = income.where(_enters(income, order))
+    incomes = income.where(enters(income, order))
     payouts = payout.where(F.col(USER).isNotNull() & valid_payout(payout) & F.col("id").isNotNull())
     return incomes.select(
         USER,
@@ -213,15 +211,18 @@ def _heavy_pieces(entries: DataFrame, order: str, sizes: Sizes) -> DataFrame:
     over the chunks alone gives segments of the axis on which one income chunk meets one payout chunk;
     there are at most as many as chunks. Rows are handed out to the segments, cut at their ends, and each
     segment is swept by itself. A zero income has no length to hand out and takes the payout of the
-    neighbouring income instead. Positions and segments are used several times, so they are written out.
+    neighbouring income instead: the zeros, which may all be beside one income, are cut into chunks as well, and
+    each chunk asks once for each neighbour. Positions and segments are used several times, so they are written out.
     """
-    totals = {"hi": F.col("cents"), "rank": F.when(F.col("cents") > 0, 1).otherwise(0)}
+    positive = F.when(F.col("cents") > 0, 1).otherwise(0)
+    totals = {"hi": F.col("cents"), "rank": positive, "_zero_rank": F.lit(1) - positive}
     placed = running_totals(entries, [USER, "side"], ["_o1", "_o2"], totals, bits=sizes.radix_bits)
     placed = written(
         placed.withColumns(
             {
                 "lo": F.col("hi") - F.col("cents"),
                 "_chunk": F.floor((F.col("rank") - 1) / sizes.chunk_rows),
+                "_zero_chunk": F.floor((F.col("_zero_rank") - 1) / sizes.chunk_rows),
             }
         )
     )
@@ -252,47 +253,58 @@ def _heavy_pieces(entries: DataFrame, order: str, sizes: Sizes) -> DataFrame:
         F.col("_segment"),
     )
 
-    zeros = incomes.where(F.col("cents") == 0).select(USER, "rank", "hi", F.col("income").alias("_zero"))
-    first_payout = payouts.where(F.col("rank") == 1).select(USER, F.col("payout").alias("_edge"))
     if order == "seq":
         # Paid with the end of the income before; ahead of all incomes, by the first payout.
         beside = pieces.where(F.col("_to") == F.col("income.hi"))
         neighbour = F.col("income.rank")
-        edge, at_edge = first_payout, F.col("rank") == 0
+        edge = payouts.where(F.col("rank") == 1).select(USER, F.lit(0).cast("bigint").alias("rank"), "payout")
     else:
         # Paid with the start of the income after; behind all incomes, by the payout that goes beyond.
         beside = pieces.where(F.col("_from") == F.col("income.lo"))
         neighbour = F.col("income.rank") - 1
         ends = incomes.groupBy(USER).agg(F.max("hi").alias("_end"), F.max("rank").alias("_last"))
-        edge = payouts.join(ends, USER).where((F.col("lo") <= F.col("_end")) & (F.col("hi") > F.col("_end")))
-        edge = edge.select(USER, F.col("payout").alias("_edge"), "_last")
-        at_edge = F.col("rank") == F.col("_last")
-    beside = beside.select(USER, neighbour.alias("rank"), F.col("payout").alias("_beside"))
-    # All zeros of a user may be at one place, so they are dealt to several parts, each of which gets the edge.
-    parts = F.explode(F.sequence(F.lit(0), F.lit(EDGE_PARTS - 1)))
-    edge = edge.withColumn("_part", parts)
-    zeros = zeros.withColumn("_part", F.pmod(F.xxhash64("_zero.id"), F.lit(EDGE_PARTS)).cast("int"))
-    settled = (
-        zeros.join(beside, [USER, "rank"], "left")
-        .join(edge, [USER, "_part"], "left")
-        .select(
-            USER,
-            F.col("_zero").alias("income"),
-            F.when(at_edge, F.col("_edge")).otherwise(F.col("_beside")).alias("payout"),
-            F.col("hi").alias("_from"),
-            F.col("hi").alias("_to"),
-        )
+        beyond = (F.col("lo") <= F.col("_end")) & (F.col("hi") > F.col("_end"))
+        # The chunk of payouts that reaches beyond, then the payout in it.
+        reached = spans.where(F.col("side") == PAYOUT).join(ends, USER).where(beyond)
+        reached = reached.select(USER, "payout._payout_chunk", "_end", "_last")
+        edge = payouts.join(reached, [USER, "_payout_chunk"]).where(beyond)
+        edge = edge.select(USER, F.col("_last").alias("rank"), "payout")
+    answers = beside.select(USER, neighbour.cast("bigint").alias("rank"), "payout").unionByName(edge)
+    zeros = incomes.where(F.col("cents") == 0).select(USER, "rank", "_zero_chunk", "hi", "income")
+    asked = zeros.select(USER, "rank", "_zero_chunk").distinct().join(answers, [USER, "rank"])
+    settled = zeros.join(asked, [USER, "rank", "_zero_chunk"], "left").select(
+        USER, "income", "payout", F.col("hi").alias("_from"), F.col("hi").alias("_to")
     )
     return pieces.select(USER, F.col("income.income").alias("income"), "payout", "_from", "_to").unionByName(
         settled
     )
 
 
-def pieces(income: DataFrame, payout: DataFrame, order: str = "seq", sizes: Sizes = Sizes()) -> DataFrame:
+def row_counts(income: DataFrame, payout: DataFrame, order: str = "seq") -> DataFrame:
+    """Rows that take part in matching and payouts among them, per user: user_id, rows, payouts."""
+    sides = _entries(income, payout, order).select(USER, "side")
+    return sides.groupBy(USER).agg(F.count("*").alias("rows"), F.sum("side").alias("payouts"))
+
+
+def heavy_users(counts: DataFrame, sizes: Sizes) -> DataFrame | None:
+    """The users that are cut into chunks and whether they have payouts, as a written table; None when there are none."""
+    found = written(
+        counts.where(F.col("rows") > sizes.heavy_rows).select(USER, (F.col("payouts") > 0).alias("_paying"))
+    )
+    return None if found.isEmpty() else found
+
+
+def pieces(
+    income: DataFrame,
+    payout: DataFrame,
+    order: str = "seq",
+    sizes: Sizes = Sizes(),
+    counts: DataFrame | None = None,
+) -> DataFrame:
     """Every piece of money: ``income`` and ``payout`` own it, ``cents`` is its size.
 
     A null payout marks an open piece, a null income a dropped part of a payout. ``paying`` tells whether
-    the user has any payout.
+    the user has any payout. ``counts`` are the row counts of users, where they are known already.
     """
     entries = _entries(income, payout, order)
     columns = [
@@ -302,9 +314,7 @@ def pieces(income: DataFrame, payout: DataFrame, order: str = "seq", sizes: Size
         (F.col("_to") - F.col("_from")).alias("cents"),
         F.col("_paying").alias("paying"),
     ]
-    paying = F.max(F.col("side") == PAYOUT).alias("_paying")
-    counted = entries.select(USER, "side")
-    heavy = heavy_keys(counted, USER, sizes.heavy_rows, [paying])
+    heavy = heavy_users(row_counts(income, payout, order) if counts is None else counts, sizes)
     if heavy is None:
         return _light_pieces(entries, order).select(*columns)
     light = _light_pieces(entries.join(heavy, USER, "left_anti"), order)
@@ -312,7 +322,7 @@ def pieces(income: DataFrame, payout: DataFrame, order: str = "seq", sizes: Size
     return light.unionByName(big.join(heavy, USER)).select(*columns)
 
 
-def _income_rows(found: DataFrame, like: DataFrame) -> DataFrame:
+def income_rows(found: DataFrame, like: DataFrame) -> DataFrame:
     """Pieces as income rows: paid ones flagged 1 with their payout, open ones flagged 0."""
     columns = {
         USER: F.col(USER),
@@ -342,10 +352,10 @@ def match(
     """
     found = pieces(income, payout, order, sizes)
     if scope == "incremental":
-        return _income_rows(found.where("paying"), income)
+        return income_rows(found.where("paying"), income)
     if scope != "full":
         raise ValueError(f"unknown scope {scope!r}")
-    return _income_rows(found, income).unionByName(income.where(~_enters(income, order)))
+    return income_rows(found, income).unionByName(income.where(~enters(income, order)))
 
 
 def open_balance(matched: DataFrame) -> DataFrame:
@@ -356,15 +366,18 @@ def open_balance(matched: DataFrame) -> DataFrame:
 def splits(income: DataFrame, payout: DataFrame, order: str = "seq", sizes: Sizes = Sizes()) -> DataFrame:
     """Rows of incomes that were cut, by payouts or by the open remainder: pieces smaller than their income."""
     found = pieces(income, payout, order, sizes)
-    return _income_rows(found.where("paying AND cents < income._cents"), income)
+    return income_rows(found.where("paying AND cents < income._cents"), income)
 
 
 def overdraft(income: DataFrame, payout: DataFrame, order: str = "seq", sizes: Sizes = Sizes()) -> DataFrame:
     """Payouts beyond the user's open income, with the amount dropped."""
-    return (
-        pieces(income, payout, order, sizes)
-        .where(F.col("income").isNull())
-        .select(USER, "payout.*", _amount(F.col("cents")).alias("dropped_amount"))
+    return overdraft_rows(pieces(income, payout, order, sizes))
+
+
+def overdraft_rows(found: DataFrame) -> DataFrame:
+    """The pieces of payouts that no income covers."""
+    return found.where(F.col("income").isNull()).select(
+        USER, "payout.*", _amount(F.col("cents")).alias("dropped_amount")
     )
 
 

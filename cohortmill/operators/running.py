@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortmill.sources.checkpoints import written
-
 # Bits of an order key that one window task sorts: at most 65,536 distinct keys.
 RADIX_BITS = 16
 KEY_BITS = 64
@@ -86,14 +84,3 @@ def running_totals(
         .withColumns({n: F.col(f"_local_{n}") + F.col(f"_before_{n}") for n in names})
         .select(*rows.columns, *names)
     )
-
-
-def heavy_keys(rows: DataFrame, key: str, min_rows: int, extra: list[Column]) -> DataFrame | None:
-    """The keys with more than ``min_rows`` rows, one row each, as a written table; None when there is no such key.
-
-    Runs a pre-aggregated count. The table decides the physical path only, never the result; whether it is
-    broadcast is left to its size.
-    """
-    counts = rows.groupBy(key).agg(F.count("*").alias("_rows"), *extra).where(F.col("_rows") > min_rows)
-    found = written(counts.drop("_rows"))
-    return None if found.isEmpty() else found

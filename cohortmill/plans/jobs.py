@@ -13,7 +13,7 @@ from cohortmill.operators import coefficients, curve, hierarchy, ledger, values
 from cohortmill.schema import COMPUTE_COLS, MEASURES, REFER_COLS
 from cohortmill.sources import sinks
 from cohortmill.sources.checkpoints import written
-from cohortmill.sources.tables import profit_rows, read_table
+from cohortmill.sources.tables import profit_rows
 
 DEFAULT_FLOOR = DateWindow(*YEAR_WINDOW_FLOOR)
 
@@ -133,19 +133,19 @@ def run_ledger(
     rejects_table: str | None = None,
     order: str = "seq",
     scope: str = "incremental",
-    previous: str | None = None,
+    overdraft_table: str | None = None,
 ):
-    """Match payouts to incomes and replace the result table, which may be the ``previous`` one.
+    """Match payouts to incomes once and replace the result table; ``LedgerRuns`` goes on from run to run.
 
-    ``previous`` names the stored result of an earlier run, whose open rows come first. Rows that take no part
-    are written to ``rejects_table``; without one, a run that has such rows fails.
+    Rows that take no part are written to ``rejects_table``; without one, a run that has such rows fails. Payouts
+    beyond the open income are written to ``overdraft_table``, if one is named.
     """
-    if previous is not None:
-        income = ledger.open_balance(read_table(income.sparkSession, previous)).unionByName(income)
     rejects = ledger.rejected(income, payout, order)
     if rejects_table is not None:
         sinks.overwrite_table(rejects, rejects_table)
     elif not rejects.isEmpty():
         raise ValueError("some rows take no part in matching; name a rejects_table for them")
+    if overdraft_table is not None:
+        sinks.overwrite_table(ledger.overdraft(income, payout, order), overdraft_table)
     # Written first, as the result may replace what it was made from.
     sinks.overwrite_table(written(ledger.match(income, payout, order, scope)), table)

@@ -80,14 +80,12 @@ def test_jobs_scan_take_a_period_and_write_tables(spark, tmp_path):
     assert report.count() > 5
 
 
-def test_ledger_job_goes_on_from_its_own_table(spark):
+def test_ledger_job_writes_overdraft_and_fails_on_rejects(spark):
     income, payout = fx.income(spark, SF), fx.payout(spark, SF)
-    early = F.col("ds") < F.lit(dt.date(2024, 1, 16))
-    jobs.run_ledger(income.where(early), payout.where(early), "runs", scope="full")
-    wanted = ledger.resume(spark.table("runs"), income.where(~early), payout.where(~early))
-    wanted = sorted(map(str, wanted.collect()))
-    jobs.run_ledger(income.where(~early), payout.where(~early), "runs", previous="runs")
-    assert sorted(map(str, spark.table("runs").collect())) == wanted
+    jobs.run_ledger(income, payout, "ledger_all", scope="full", overdraft_table="ledger_beyond")
+    assert spark.table("ledger_all").count() == ledger.match(income, payout, scope="full").count()
+    wanted = sorted(map(str, ledger.overdraft(income, payout).collect()))
+    assert sorted(map(str, spark.table("ledger_beyond").collect())) == wanted and wanted
     bad = income.limit(1).withColumn("show_amount", F.lit(-1).cast("decimal(18,2)"))
     with pytest.raises(ValueError, match="rejects_table"):
         jobs.run_ledger(bad, payout, "runs")
