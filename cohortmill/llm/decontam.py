@@ -5,9 +5,12 @@ word the state and the length tell the longest run of words ending there that oc
 that length reaches the window, the last words up to the window are hit, and the state tells the items.
 An item shorter than the window counts as one window: it is hit where the stream ends in all of it.
 
-The test items are read in blocks of ``block_words`` words, each a whole automaton sent to every task;
-documents go through one block after the other, so memory does not grow with the benchmark. Items longer
-than a block are cut into pieces that overlap by the window less one, which keeps every window whole.
+The test items are read in blocks of ``block_words`` words, each a whole automaton sent to every task, used and
+taken back before the next one is built, so memory does not grow with the benchmark. Items longer
+than a block are cut into pieces that overlap by the window less one, which keeps every window whole. With several blocks, one
+pass marks the documents that hold the hash of any window (in a bitmap of fixed size, which may mark more, never fewer), and
+only these go through the blocks. The spans of all blocks are joined before a text is cut, and cut texts go
+through all blocks again until none is hit: the result doesn't depend on the blocks.
 
 Words: A-Z in lower case, runs of letters, digits and code points from U+0080 on.
 
@@ -21,8 +24,10 @@ from __future__ import annotations
 import math
 import re
 import string
+import zlib
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +38,8 @@ from cohortmill.sources.checkpoints import written
 
 WINDOW = 10
 BLOCK_WORDS = 50_000
+#: The bitmap of window hashes has 2 ** BITS bits (4 MB).
+BITS = 25
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD_BYTES = re.compile(WORD.encode())
 
@@ -175,9 +182,78 @@ def item_blocks(benchmark: DataFrame, window: int, block_words: int) -> Iterator
         yield [(row.name, [word.encode() for word in row.words]) for row in rows]
 
 
-def _automata(docs: DataFrame, benchmark: DataFrame, window: int, block_words: int):
+def _window_buckets(words: list[bytes], size: int, bits: int) -> np.ndarray:
+    """Bucket of each run of ``size`` words."""
+    if len(words) < size:
+        return np.empty(0, np.int64)
+    numbers = np.array([zlib.crc32(word) for word in words], np.uint64)
+    total = np.zeros(len(words) - size + 1, np.uint64)
+    for at in range(size):
+        # A fixed odd multiplier (from the golden ratio) for each place of the run.
+        total = (total ^ (total >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + numbers[at : at + len(total)]
+    total = (total ^ (total >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return (total >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def window_bitmap(benchmark: DataFrame, window: int, bits: int = BITS) -> tuple[list[int], bytes]:
+    """Sizes of windows that occur, and one bit for each bucket that holds a window."""
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    items = benchmark.select(F.regexp_extract_all(lower, F.lit(WORD), F.lit(0)).alias("words")).filter(F.size("words") > 0)
+
+    def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: dict[int, np.ndarray] = {}
+            for words in batch.column("words").to_pylist():
+                size = min(window, len(words))
+                own = _window_buckets([word.encode() for word in words], size, bits)
+                found[size] = np.union1d(found[size], own) if size in found else np.unique(own)
+            for size, own in found.items():
+                yield pa.RecordBatch.from_arrays([pa.array([size] * len(own), pa.int32()), pa.array(own, pa.int64())], ["size", "bucket"])
+
+    # At most one row a bucket comes here.
+    held = items.mapInArrow(buckets, "size int, bucket long").groupBy("bucket").agg(F.collect_set("size").alias("sizes"))
+    sizes: set[int] = set()
+    bitmap = np.zeros(1 << bits, bool)
+    for row in held.toLocalIterator():
+        bitmap[row.bucket] = True
+        sizes.update(row.sizes)
+    return sorted(sizes), np.packbits(bitmap).tobytes()
+
+
+def _marked(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
+    """The documents with _row, _words (their number) and _may, whether a window may occur; written, as rows are numbered."""
+    sizes, bitmap = window_bitmap(benchmark, window)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    schema = T.StructType([*numbered.schema, T.StructField("_words", T.LongType()), T.StructField("_may", T.BooleanType())])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            counts, may = [], []
+            for text in batch.column("text").cast(pa.binary()):
+                words = words_of(text.as_py())
+                buckets = [_window_buckets(words, size, BITS) for size in sizes]
+                may.append(any(((flags[x >> 3] >> (7 - (x & 7)).astype(np.uint8)) & 1).any() for x in buckets))
+                counts.append(len(words))
+            arrays = [*batch.columns, pa.array(counts, pa.int64()), pa.array(may, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
+
+    return written(numbered.mapInArrow(mark, schema))
+
+
+def _through_blocks(docs: DataFrame, benchmark: DataFrame, window: int, block_words: int) -> DataFrame | None:
+    """_row, spans and items of rows that any block hits; None if there is one block only."""
+    found = None
     for items in item_blocks(benchmark, window, block_words):
-        yield docs.sparkSession.sparkContext.broadcast(SuffixAutomaton(items, window))
+        automaton = docs.sparkSession.sparkContext.broadcast(SuffixAutomaton(items, window))
+        hit = written(_scanned(docs, automaton, "_row").filter(F.size("items") > 0))
+        automaton.destroy()
+        found = hit if found is None else found.unionByName(hit)
+    return found.groupBy("_row").agg(
+        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
 
 
 HITS = T.StructType(
@@ -189,9 +265,9 @@ HITS = T.StructType(
 )
 
 
-def _scanned(docs: DataFrame, automaton) -> DataFrame:
-    """doc_id, digest of the text, and HITS against one block."""
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("digest", T.StringType()), *HITS.fields])
+def _scanned(docs: DataFrame, automaton, key: str) -> DataFrame:
+    """The key column and HITS against one block."""
+    schema = T.StructType([docs.schema[key], *HITS.fields])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = automaton.value.hits
@@ -206,8 +282,7 @@ def _scanned(docs: DataFrame, automaton) -> DataFrame:
             span_type = pa.list_(pa.struct([("first", pa.int64()), ("behind", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
-                    batch.column("digest"),
+                    batch.column(key),
                     pa.array(counts, pa.int64()),
                     pa.array(spans, span_type),
                     pa.array(items, pa.list_(pa.string())),
@@ -215,26 +290,30 @@ def _scanned(docs: DataFrame, automaton) -> DataFrame:
                 names=schema.fieldNames(),
             )
 
-    binary = F.col("text").cast("binary")
-    return docs.select("doc_id", F.md5(binary).alias("digest"), binary.alias("text")).mapInArrow(scan, schema)
+    return docs.select(key, F.col("text").cast("binary").alias("text")).mapInArrow(scan, schema)
+
+
+def _one_block(docs: DataFrame, benchmark: DataFrame, window: int, block_words: int):
+    """The automaton of all items where they fit one block, else None."""
+    blocks = item_blocks(benchmark, window, block_words)
+    first = next(blocks)
+    if next(blocks, None) is not None:
+        return None
+    return docs.sparkSession.sparkContext.broadcast(SuffixAutomaton(first, window))
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per document: doc_id, n_words, spans of hit words (numbers from 0, end behind), items with occurring windows."""
-    parts = [_scanned(docs, automaton) for automaton in _automata(docs, benchmark, window, block_words)]
-    if len(parts) == 1:
-        return parts[0].drop("digest")
-    found = written(parts[0])
-    for part in parts[1:]:
-        found = found.unionByName(written(part))
-    # Equal rows have equal hits, so they are one group here and rows again below.
-    merged = found.groupBy("doc_id", "digest", "n_words").agg(
-        F.array_distinct(F.flatten(F.collect_set("spans"))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-        (F.count(F.lit(1)) / len(parts)).cast("long").alias("rows"),
-    )
-    merged = merged.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
-    return merged.withColumn("spans", _joined(F.array_sort("spans"))).select("doc_id", *HITS.fieldNames())
+    automaton = _one_block(docs, benchmark, window, block_words)
+    if automaton is not None:
+        return _scanned(docs, automaton, "doc_id")
+    rows = _marked(docs.select("doc_id", "text"), benchmark, window)
+    hit = _through_blocks(rows.filter("_may"), benchmark, window, block_words)
+    joined = rows.select("doc_id", "_row", F.col("_words").alias("n_words")).join(hit, "_row", "left")
+    none = T.StructType(HITS.fields)
+    spans = F.coalesce("spans", F.array().cast(none["spans"].dataType))
+    items = F.coalesce("items", F.array().cast(none["items"].dataType))
+    return joined.select("doc_id", "n_words", _joined(spans).alias("spans"), items.alias("items"))
 
 
 def _joined(spans):
@@ -266,22 +345,76 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_wo
     )
 
 
+def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The text without the words of some spans, which are in order and don't touch."""
+    places = [match.span() for match in WORD_BYTES.finditer(text.lower())]
+    kept, at = [], 0
+    for first, behind in spans:
+        kept.append(text[at : places[first][0]].rstrip())
+        at = places[behind - 1][1]
+    kept.append(text[at:])
+    return b"\n".join(part for part in kept if part.strip())
+
+
 def _cut(text: bytes, automaton: SuffixAutomaton) -> tuple[bytes, int, int]:
     """The text without its hit words, and its number of words before and after; again, until none is hit."""
     words = words_of(text)
     before = len(words)
     while spans := automaton.hits(words)[0]:
-        places = [match.span() for match in WORD_BYTES.finditer(text.lower())]
-        kept, at = [], 0
-        for first, behind in spans:
-            kept.append(text[at : places[first][0]].rstrip())
-            at = places[behind - 1][1]
-        kept.append(text[at:])
-        text = b"\n".join(part for part in kept if part.strip())
+        text = _without(text, spans)
         words = words_of(text)
     return text, before, len(words)
 
 
+def _cut_by_one(docs: DataFrame, automaton) -> DataFrame:
+    """The documents with cut texts, and _words and _cut: their words and how many of them are gone."""
+    schema = T.StructType([*docs.schema, T.StructField("_words", T.LongType()), T.StructField("_cut", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, words, cut = [], [], []
+            for text in batch.column("text"):
+                text = text.as_py()
+                kept, before, after = _cut(text.encode(), automaton.value) if text else (None, 0, 0)
+                texts.append(text if before == after else kept.decode())
+                words.append(before)
+                cut.append(before - after)
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            columns |= {"text": pa.array(texts, batch.schema.field("text").type)}
+            columns |= {"_words": pa.array(words, pa.int64()), "_cut": pa.array(cut, pa.int64())}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=schema.fieldNames())
+
+    return docs.mapInArrow(run, schema)
+
+
+def _cut_by_blocks(docs: DataFrame, benchmark: DataFrame, window: int, block_words: int) -> DataFrame:
+    """The same against several blocks. Each round cuts the spans of all blocks; rows that were cut go into the next one."""
+    rows = _marked(docs, benchmark, window).withColumn("_cut", F.lit(0).cast("long"))
+    schema = rows.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, cut = [], []
+            for row in batch.select(["text", "_cut", "spans"]).to_pylist():
+                spans: list[tuple[int, int]] = []
+                for span in sorted(row["spans"], key=lambda span: (span["behind"], span["first"])):
+                    _add(spans, span["first"], span["behind"])
+                texts.append(_without(row["text"].encode(), spans).decode())
+                cut.append(row["_cut"] + sum(behind - first for first, behind in spans))
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            columns |= {"text": pa.array(texts, batch.schema.field("text").type), "_cut": pa.array(cut, pa.int64())}
+            yield pa.RecordBatch.from_arrays([columns[name] for name in schema.fieldNames()], names=schema.fieldNames())
+
+    done = rows.filter(~F.col("_may"))
+    pending = rows.filter("_may")
+    while True:
+        hit = written(_through_blocks(pending, benchmark, window, block_words).drop("items"))
+        done = done.unionByName(pending.join(hit, "_row", "left_anti").select(*schema.fieldNames()))
+        if hit.isEmpty():
+            return done.drop("_row", "_may")
+        pending = written(pending.join(hit, "_row").mapInArrow(run, schema))
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -293,33 +426,12 @@ def decontaminate(
     in such spans go. The other columns of documents stay as they are; ``n_chars`` follows the text where there is one."""
     docs = documents_only(docs)
     names = docs.columns
-    current = docs.select(*names, F.lit(None).cast("long").alias("_words"), F.lit(0).cast("long").alias("_cut"))
-    schema = current.schema
-
-    def cutter(automaton):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts, words, cut = [], [], []
-                rows = zip(batch.column("text"), batch.column("_words"), batch.column("_cut"), strict=True)
-                for text, known, so_far in rows:
-                    text = text.as_py()
-                    kept, before, after = _cut(text.encode(), automaton.value) if text else (None, 0, 0)
-                    texts.append(text if before == after else kept.decode())
-                    words.append(before if known.as_py() is None else known.as_py())
-                    cut.append(so_far.as_py() + before - after)
-                columns = dict(zip(batch.schema.names, batch.columns, strict=True))
-                columns |= {"text": pa.array(texts, batch.schema.field("text").type)}
-                columns |= {"_words": pa.array(words, pa.int64()), "_cut": pa.array(cut, pa.int64())}
-                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
-
-        return run
-
-    automata = list(_automata(docs, benchmark, window, block_words))
-    for number, automaton in enumerate(automata):
-        current = current.mapInArrow(cutter(automaton), schema)
-        if number + 1 < len(automata):
-            current = written(current)
-    kept = current.filter(F.col("_cut") <= F.greatest(F.col("_words"), F.lit(0)) * F.lit(max_coverage))
+    automaton = _one_block(docs, benchmark, window, block_words)
+    if automaton is not None:
+        current = _cut_by_one(docs, automaton)
+    else:
+        current = _cut_by_blocks(docs, benchmark, window, block_words)
+    kept = current.filter(F.col("_cut") <= F.col("_words") * F.lit(max_coverage))
     if "n_chars" in names:
         length = F.when(F.col("_cut") > 0, F.length("text")).otherwise(F.col("n_chars"))
         kept = kept.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))

@@ -88,6 +88,34 @@ def test_decontamination_in_blocks_and_cuts(spark, make):
         assert decontam.report(spark.createDataFrame(list(rows.values())), benchmark).filter("contaminated").count() == 0
 
 
+def test_nested_passages_do_not_depend_on_blocks(spark, make):
+    """A passage of one item inside a passage of another: the second is whole only once the first is cut out."""
+    outer = [f"o{i}" for i in range(30)]
+    inner = [f"i{i}" for i in range(25)]
+    third = [f"t{i}" for i in range(14)]
+    benchmark = spark.createDataFrame([(1, " ".join(outer)), (2, " ".join(inner)), (3, " ".join(third)), (4, "a short one")], "item_id long, text string")
+    rest = [f"r{i}" for i in range(200)]
+    nested = outer[:6] + inner[:9] + third + inner[9:16] + outer[6:12]
+    rows = [
+        (1, " ".join([*rest[:100], *nested, *rest[100:]])),
+        (2, ", ".join([*rest[:100], *outer[:15], *inner[:12], "A", "short; one", *rest[100:]])),
+        (3, " ".join(rest)),
+        (4, " ".join(outer)),
+        (5, None),
+        (6, ""),
+        (7, " ".join(outer[:9])),
+    ]
+    docs = make([*rows, rows[0], rows[2]])
+    wanted = sorted(map(str, decontam.decontaminate(docs, benchmark).collect()))
+    assert len(wanted) == 8 and " ".join(rest) in wanted[0].replace("\\n", "")
+    reported = sorted(map(str, decontam.report(docs, benchmark).collect()))
+    for size in (12, 20, 40):
+        cut = decontam.decontaminate(docs, benchmark, block_words=size)
+        assert sorted(map(str, cut.collect())) == wanted
+        assert decontam.report(cut, benchmark, block_words=size).filter("contaminated").count() == 0
+        assert sorted(map(str, decontam.report(docs, benchmark, block_words=size).collect())) == reported
+
+
 def test_chunks_resist_shifts(make):
     rng = random.Random(4)
     text = " ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(400))
