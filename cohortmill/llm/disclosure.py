@@ -12,12 +12,16 @@ are protected by what the corpus says of their like. A share is smoothed by its
 after the first says log2(N / n(entity)) bits against chance, and the share is multiplied by
 bits / (bits + ``smoothing``); copies of one text are one piece of evidence. Built-in functions only.
 
-Counts of terms and pairs are made with partial counts first; nothing pairs words with each other, and only
-words of a text that holds an entity meet it.
+All documents' terms are counted once, with partial counts first. A pair (entity, term) is only formed where its share can
+reach the threshold t: n(both) is at most n(entity), and at most the documents in which the term stands with any entity. So a term
+needs the share (n(term) / N) ** ((1 - t) / t) of its documents among those, and an entity needs
+(n(term) / N ** (1 - t)) ** (1 / t) documents; what only one text holds has no evidence. Common words meet no entity then,
+and a text with thousands of entities that share a domain or net pairs its terms with these, not with each value.
 
 Defined results: null text has no spans. Terms are runs of letters in lower case, of three letters or more. An
 entity that every document holds can't be disclosed. Repeated rows get the same spans; they are counted as
-documents. An empty table gives an empty result.
+documents. Very long texts are read whole. Columns other than doc_id and text are not read (``sanitised`` keeps those of documents). An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ THRESHOLD = 0.8
 #: Bits of evidence that halve a share, see above.
 SMOOTHING = 3.0
 TERM = r"\p{L}{3,}"
+#: Largest table of disclosing terms that is sent to every task.
+BROADCAST_BYTES = 8 << 20
 PLACEHOLDERS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>", "term": "<TERM>"}
 
 
@@ -128,10 +134,20 @@ def near_terms(found: DataFrame, reach: int) -> DataFrame:
     return terms.withColumn("entity", F.explode("entity"))
 
 
-def _hashes(text: str) -> Column:
-    """The different terms of a text as numbers, which are quicker to tell apart than words."""
-    words = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
-    return F.array_distinct(F.transform(words, lambda word: F.xxhash64(F.lower(word))))
+def plain(text: Column) -> Column:
+    """Lower case, code point by code point (only one capital letter would become two)."""
+    return F.lower(F.translate(text, "\u0130", "i"))
+
+
+def _words(text: Column) -> Column:
+    """The different runs of letters of a plain text; those of less than three letters are no terms."""
+    return F.array_distinct(F.split(text, r"\P{L}+"))
+
+
+def _terms(rows: DataFrame, words: Column, *keep: str) -> DataFrame:
+    """One row for each term, with the kept columns."""
+    each = rows.select(*keep, F.explode(words).alias("term"))
+    return each.filter(F.length("term") >= 3)
 
 
 def _replaced(changes: Column, by: Callable[[Column, Column], Column]) -> Column:
@@ -159,11 +175,25 @@ def _masked() -> Column:
     )
 
 
+def term_counts(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """hash (of a term) and n_term, the documents that hold it outside of entities; texts: rows, plain and masked of
+    those that hold entities."""
+    one = F.lit(1).cast("bigint").alias("n")
+    counts = _terms(docs.select(plain(F.col("text")).alias("plain")), _words(F.col("plain"))).select("term", one)
+    # What the words of entities change in that.
+    held, rest = _words(F.col("plain")), _words(F.col("masked"))
+    less = _terms(texts, F.array_except(held, rest), "rows").select("term", (-F.col("rows")).alias("n"))
+    more = _terms(texts, F.array_except(rest, held), "rows").select("term", F.col("rows").alias("n"))
+    counts = counts.unionByName(less).unionByName(more).select(F.xxhash64("term").alias("hash"), "n")
+    return counts.groupBy("hash").agg(F.sum("n").alias("n_term"))
+
+
 def disclosing(
     docs: DataFrame, found: DataFrame, reach: int | None = None, threshold: float = THRESHOLD, smoothing: float = SMOOTHING
 ) -> DataFrame:
     """(entity, term, share, alone): pairs whose share of disclosure reaches the threshold; found: doc_id, digest,
-    text, found and masked."""
+    text, plain, found and masked."""
+    total = float(docs.count())
     # Documents are counted by rows of the table, each text once with the number of its rows.
     rows_of = found.groupBy(F.col("digest").alias("_digest")).agg(F.count(F.lit(1)).alias("rows"))
     texts = found.dropDuplicates(["digest"]).join(rows_of, F.col("digest") == F.col("_digest")).drop("_digest")
@@ -171,63 +201,77 @@ def disclosing(
     each = F.array_distinct(F.flatten(F.transform("found", _names)))
     held = texts.select("digest", "rows", F.explode(each).alias("entity"))
     entities = held.groupBy(F.col("entity").alias("_entity"))
-    entities = written(entities.agg(F.sum("rows").alias("n_entity"), F.count(F.lit(1)).alias("texts")))
-    # What a single text holds has no evidence, so a share of 0.
-    known = held.join(entities.filter("texts > 1").select("_entity"), F.col("entity") == F.col("_entity"))
-    if reach is None:
-        known = known.groupBy(F.col("digest").alias("_digest")).agg(F.collect_list("entity").alias("entities"))
-        words = F.regexp_extract_all("masked", F.lit(TERM), F.lit(0))
-        terms = F.array_distinct(F.transform(words, lambda word: F.lower(word)))
-        both = texts.select("digest", "rows", terms.alias("terms")).join(known, F.col("digest") == F.col("_digest"))
-        both = both.select("rows", "terms", F.explode("entities").alias("entity"))
-        both = both.select("rows", "entity", F.explode("terms").alias("term"))
-    else:
-        near = near_terms(texts, reach).select(F.col("digest").alias("_digest"), F.col("entity").alias("_near"), "term").distinct()
-        match = (F.col("digest") == F.col("_digest")) & (F.col("entity") == F.col("_near"))
-        both = known.join(near, match).select("rows", "entity", "term")
-    pairs = both.groupBy("entity", "term").agg(F.sum("rows").alias("n_both"), F.count(F.lit(1)).alias("texts"))
-    pairs = written(pairs.filter("texts > 1"))
-    # All documents' terms, each once a document; then what the words of entities change in that.
-    counts = docs.select(F.explode(_hashes("text")).alias("_term"), F.lit(1).alias("n"))
-    own = texts.select("rows", _hashes("text").alias("text"), _hashes("masked").alias("masked"))
-    less = own.select(F.explode(F.array_except("text", "masked")).alias("_term"), (-F.col("rows")).alias("n"))
-    more = own.select(F.explode(F.array_except("masked", "text")).alias("_term"), F.col("rows").alias("n"))
-    counts = counts.unionByName(less).unionByName(more).groupBy("_term").agg(F.sum("n").alias("n_term"))
-    joined = pairs.join(entities.drop("texts"), F.col("entity") == F.col("_entity"))
-    joined = joined.join(counts, F.xxhash64("term") == F.col("_term"))
-    total = docs.count()
-    content = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    information = F.log2(F.lit(float(total)) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
+    entities = entities.agg(F.sum("rows").alias("n_entity"), F.count(F.lit(1)).alias("texts"))
+    # What a single text holds has no evidence, so a share of 0; what all documents hold has no content.
+    entities = written(entities.filter((F.col("texts") > 1) & (F.col("n_entity") < total)).drop("texts"))
+    known = held.join(entities, F.col("entity") == F.col("_entity")).select("digest", "rows", "entity", "n_entity")
+    # Terms that can disclose anything: concentrated in documents with entities.
+    here = written(_terms(texts, _words(F.col("masked")), "digest", "rows"))
+    among = here.groupBy("term").agg(F.sum("rows").alias("n_held"), F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+    counts = term_counts(docs, texts)
+    among = among.join(counts, F.xxhash64("term") == F.col("hash"))
+    least = F.pow(F.col("n_term") / total, F.lit((1 - threshold) / threshold)) if threshold > 0 else F.lit(0.0)
+    # A millionth less, as these are rounded numbers.
+    among = written(among.filter(F.col("n_held") / F.col("n_term") >= least * (1 - 1e-6)).select(F.col("term").alias("_term"), "n_term"))
+    here = here.join(among, F.col("term") == F.col("_term")).select("digest", "term", "n_term")
+    if reach is not None:
+        near = near_terms(texts.withColumn("text", F.col("plain")), reach)
+        near = near.select(F.col("digest").alias("_digest"), F.col("entity").alias("_near"), F.col("term").alias("_term")).distinct()
+    terms = here.groupBy(F.col("digest").alias("_digest")).agg(F.collect_list(F.struct("term", "n_term")).alias("terms"))
+    # A text's own terms, no more than its words.
+    both = known.join(terms, F.col("digest") == F.col("_digest"))
+    few = F.pow(F.col("n_entity").cast("double"), F.lit(threshold)) * total ** (1 - threshold) * (1 + 1e-6)
+    both = both.select("digest", "rows", "entity", "n_entity", F.explode(F.filter("terms", lambda t: t["n_term"] <= few)).alias("t"))
+    both = both.select("digest", "rows", "entity", "n_entity", "t.term", "t.n_term")
+    if reach is not None:
+        match = (F.col("digest") == F.col("_digest")) & (F.col("entity") == F.col("_near")) & (F.col("term") == F.col("_term"))
+        both = both.join(near, match, "left_semi")
+    pairs = both.groupBy("entity", "term", "n_entity", "n_term").agg(F.sum("rows").alias("n_both"), F.count(F.lit(1)).alias("texts"))
+    pairs = pairs.filter("texts > 1")
+    content = F.log2(F.lit(total) / F.col("n_entity"))
+    information = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
     bits = (F.col("texts") - 1) * content
-    share = F.when(content > 0, information / content * bits / (bits + smoothing)).otherwise(F.lit(0.0))
-    told = joined.select("entity", "term", share.alias("share"), (F.col("n_both") >= F.col("n_term")).alias("alone"))
+    share = information / content * bits / (bits + smoothing)
+    told = pairs.select("entity", "term", share.alias("share"), (F.col("n_both") >= F.col("n_term")).alias("alone"))
     return told.filter(F.col("share") >= threshold)
 
 
+def holders(docs: DataFrame, told: DataFrame) -> DataFrame:
+    """Documents that hold told terms: doc_id, digest, text and ``held``, the terms with whether they are alone.
+
+    The terms are sent to all tasks where they are few, by their measured size; else they meet the documents' words in
+    a shuffle. Repeated rows are one.
+    """
+    texts = docs.filter(F.col("text").isNotNull())
+    texts = texts.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "text")
+    size = told.agg(F.sum(F.octet_length("_term") + 16)).first()[0] or 0
+    told = F.broadcast(told) if size <= BROADCAST_BYTES else told
+    each = _terms(texts, _words(plain(F.col("text"))), "doc_id", "digest").join(told, F.col("term") == F.col("_term"))
+    held = each.groupBy(F.col("doc_id").alias("_doc_id"), F.col("digest").alias("_digest"))
+    held = held.agg(F.collect_set(F.struct("term", "alone")).alias("held"))
+    match = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("digest") == F.col("_digest"))
+    return texts.join(held, match).drop("_doc_id", "_digest").dropDuplicates(["doc_id", "digest"])
+
+
 def detect(
     docs: DataFrame, reach: int | None = None, threshold: float = THRESHOLD, smoothing: float = SMOOTHING
 ) -> DataFrame:
     """Per document with any: doc_id, text, found (spans with values), terms (places of disclosing terms, and whether
     they occur with an entity alone). Repeated rows are one."""
     found = personal(docs).filter(F.size("found") > 0)
-    found = written(found.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "text", "found", _masked().alias("masked")))
+    own = plain(F.col("text")).alias("plain")
+    found = found.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "text", own, "found", _masked().alias("masked"))
+    found = written(found.withColumn("masked", plain(F.col("masked"))))
     # A term that discloses several entities is removed if it occurs with any of them alone.
-    told = disclosing(docs, found, reach, threshold, smoothing).groupBy("term").agg(F.max("alone").alias("alone"))
-    told = written(told).select(F.xxhash64("term").alias("_hash"), "term", "alone")
-    texts = docs.filter(F.col("text").isNotNull())
-    texts = texts.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "text")
-    # The terms that a text holds, no more than its words; then their places in these texts only.
-    holding = texts.select("doc_id", "digest", F.explode(_hashes("text")).alias("hash"))
-    holding = holding.join(told, F.col("hash") == F.col("_hash")).groupBy(F.col("doc_id").alias("_doc_id"), F.col("digest").alias("_digest"))
-    holding = holding.agg(F.collect_set(F.struct("term", "alone")).alias("held"))
+    told = disclosing(docs, found, reach, threshold, smoothing).groupBy(F.col("term").alias("_term")).agg(F.max("alone").alias("alone"))
     match = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("digest") == F.col("_digest"))
-    holding = written(texts.join(holding, match).drop("_doc_id", "_digest").dropDuplicates(["doc_id", "digest"]))
+    holding = written(holders(docs, written(told)))
     entities = found.dropDuplicates(["doc_id", "digest"]).withColumnsRenamed({"doc_id": "_doc_id", "digest": "_digest"})
     masks = entities.select("_doc_id", "_digest", "masked")
-    placed = holding.join(masks, match, "left").withColumn("masked", F.coalesce("masked", "text"))
+    placed = holding.join(masks, match, "left").withColumn("masked", F.coalesce("masked", plain(F.col("text"))))
     placed = spans.found(placed.drop("_doc_id", "_digest"), "masked", [Rule("term", TERM, r"\p{L}{3}")])
     alone = F.map_from_entries("held")
-    marks = F.transform("_term", lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), alone[F.lower(t["value"])].alias("alone")))
+    marks = F.transform("_term", lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), alone[t["value"]].alias("alone")))
     placed = placed.select("doc_id", "digest", "text", F.filter(marks, lambda t: t["alone"].isNotNull()).alias("terms"))
     entities = entities.select("_doc_id", "_digest", F.col("text").alias("_text"), "found")
     both = placed.join(entities, match, "full")
@@ -260,9 +304,9 @@ def report(docs: DataFrame, reach: int | None = None, threshold: float = THRESHO
     return rows.select(
         "doc_id",
         *counts,
-        F.size("terms").cast("long").alias("n_term"),
         F.sha2(base.cast("binary"), 256).alias("base_sha256"),
         spans.listed(F.concat("found", "terms")).alias("spans"),
+        F.size("terms").cast("long").alias("n_term"),
     )
 
 
