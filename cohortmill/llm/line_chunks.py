@@ -1,17 +1,19 @@
 """Line deduplication with content-defined chunks of lines.
 
-Every line has a number from its digest; a hash of the last ``REACH`` lines' numbers rolls over the text, and a
-chunk ends where the hash divides by ``EVERY``, or with the text. So a line that is put in or left out changes
-the chunks around it and no others. Chunks of two lines or more that occur again anywhere, with the same
-bytes, are removed, but for the first place by document id, text digest and line. Built-in functions only.
-
-Digests bring chunks together, and their bytes decide: texts are grouped as they are, with partial groups
-first, so a chunk that very many documents hold is one row a task. Where texts with one digest differ, none
-of them is removed.
-
-Defined results: null text has no lines and stays null; empty text is one empty line. Chunks without a word
-(anything but white space) stay. Rows that are equal in id and text lose the same chunks. Null ids come last.
-An empty table gives an empty result.
+A hash of two neighbouring lines with a word (and what stands between them) rolls over every text. Where its
+value occurs at no second place of the corpus, a chunk ends: so chunks are the longest stretches of lines whose
+every pair of neighbours occurs elsewhere too. Boundaries depend on the lines beside them alone, a line
+that is put in or left out changes nothing further on, and a chunk has two lines with words or more. (A boundary wherever the hash divides by some
+number would cut short blocks at random: of blocks of two lines it finds hardly any.)
+
+Of the places of a pair the first stays, by document id, text digest and line; the lines of all others go, so each line
+that goes still stands at an earlier place. Digests bring places together, and their bytes decide: texts
+of pairs are grouped as they are, with partial groups first, and where texts with one digest differ, none of them
+is removed. Only pairs that occur twice are compared. Built-in functions only.
+
+Defined results: null text has no lines and stays null; empty text is one empty line. Lines without a word
+(anything but white space) go with the pair that they stand in; alone they stay. Rows that are equal in id and text lose the same
+lines. Null ids come last. Very long texts are read whole. Columns that documents don't have are left out. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,72 +24,77 @@ from pyspark.sql import functions as F
 from cohortmill.llm.common import documents_only
 from cohortmill.sources.checkpoints import written
 
-EVERY = 3
-REACH = 2
-BASE, MODULUS = 31, 1_000_003
-
-
-def _line_number(line: Column) -> Column:
-    return F.conv(F.substring(F.md5(line.cast("binary")), 1, 7), 16, 10).cast("bigint")
+WORD = r"[^\x20\x09-\x0D]"
 
 
 def _digest(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
-def chunk_rows(docs: DataFrame, every: int = EVERY) -> DataFrame:
-    """Per document: doc_id, digest, lines, and chunks as (first, last) line, counted from 1."""
-    lines = docs.select("doc_id", _digest(F.col("text")).alias("digest"), F.split("text", "\n", -1).alias("lines"))
-    numbered = lines.withColumn("numbers", F.transform("lines", _line_number))
-
-    def ends(place: Column) -> Column:
-        rolled = F.lit(0).cast("bigint")
-        for back in range(REACH):
-            number = F.when(place > back, F.element_at("numbers", F.greatest(place - back, F.lit(1))))
-            rolled = rolled + F.coalesce(number, F.lit(0)) * BASE**back
-        return (rolled % MODULUS % every == 0) | (place == F.size("numbers"))
-
-    numbered = numbered.withColumn("ends", F.filter(F.sequence(F.lit(1), F.size("numbers")), ends)).drop("numbers")
-    firsts = F.concat(F.array(F.lit(1)), F.transform(F.slice("ends", 1, F.size("ends") - 1), lambda end: end + 1))
-    spans = F.zip_with(firsts, "ends", lambda first, last: F.struct(first.alias("first"), last.alias("last")))
-    return numbered.select("doc_id", "digest", "lines", spans.alias("chunks"))
-
-
-def chunked(docs: DataFrame, every: int = EVERY) -> DataFrame:
-    """Per chunk of two lines or more with a word: doc_id, digest (of the document), first, last, chunk (its digest), body."""
-    rows = chunk_rows(docs.filter(F.col("text").isNotNull()), every)
-    rows = rows.select("doc_id", "digest", "lines", F.explode(F.filter("chunks", lambda c: c["last"] > c["first"])).alias("c"))
-    body = F.array_join(F.slice("lines", F.col("c.first"), F.col("c.last") - F.col("c.first") + 1), "\n")
-    rows = rows.select("doc_id", "digest", "c.first", "c.last", body.alias("body"))
-    rows = rows.filter(F.col("body").rlike(r"[^\x20\x09-\x0D]"))
-    return rows.withColumn("chunk", _digest(F.col("body")))
-
-
-def repeated(docs: DataFrame, every: int = EVERY) -> DataFrame:
-    """Every place of a repeated chunk: doc_id, digest, first, last, chunk, places, kept (the one that stays)."""
-    chunks = chunked(docs, every)
-    texts = chunks.groupBy("chunk", "body").agg(F.count(F.lit(1)).alias("places"))
-    same = texts.groupBy(F.col("chunk").alias("_chunk")).agg(F.sum("places").alias("places"), F.count(F.lit(1)).alias("texts"))
-    same = written(same.filter("places > 1 and texts = 1").drop("texts"))
-    match = F.col("chunk") == F.col("_chunk")
-    places = written(chunks.drop("body").join(same, match).drop("_chunk"))
+def _body(lines: Column, first: Column, last: Column) -> Column:
+    return F.array_join(F.slice(lines, first, last - first + 1), "\n")
+
+
+def pairs(docs: DataFrame) -> DataFrame:
+    """Every pair of neighbouring lines with a word: doc_id, digest (of the document), first, last (lines from 1), chunk (the
+    pair's digest)."""
+    lines = docs.filter(F.col("text").isNotNull())
+    lines = lines.select("doc_id", _digest(F.col("text")).alias("digest"), F.split("text", "\n", -1).alias("lines"))
+    worded = F.filter(F.sequence(F.lit(1), F.size("lines")), lambda at: F.element_at("lines", at).rlike(WORD))
+    lines = lines.withColumn("worded", worded)
+
+    def pair(first: Column, last: Column) -> Column:
+        return F.struct(first.alias("first"), last.alias("last"), _digest(_body(F.col("lines"), first, last)).alias("chunk"))
+
+    # Texts of pairs are not carried along, as together they are twice the document.
+    count = F.greatest(F.size("worded") - 1, F.lit(0))
+    pairs_of = F.zip_with(F.slice("worded", F.lit(1), count), F.slice("worded", F.lit(2), count), pair)
+    found = lines.select("doc_id", "digest", pairs_of.alias("pairs"))
+    return found.select("doc_id", "digest", F.explode("pairs").alias("p")).select("doc_id", "digest", "p.*")
+
+
+def repeated(docs: DataFrame) -> DataFrame:
+    """Every place of a pair with several places: doc_id, digest, first, last, chunk, kept (whether it is the one that stays)."""
+    every = written(pairs(docs))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "first")
-    keepers = places.groupBy(F.col("chunk").alias("_chunk")).agg(F.min(place).alias("keeper"))
-    return places.join(keepers, match).withColumn("kept", place == F.col("keeper")).drop("_chunk", "keeper")
+    keepers = every.groupBy(F.col("chunk").alias("_chunk")).agg(F.count(F.lit(1)).alias("places"), F.min(place).alias("keeper"))
+    keepers = keepers.filter("places > 1").drop("places")
+    places = every.join(keepers, F.col("chunk") == F.col("_chunk"))
+    places = written(places.withColumn("kept", place == F.col("keeper")).drop("_chunk", "keeper"))
+    texts = _with_places(docs.select("doc_id", "text"), places, "inner")
+    texts = texts.withColumn("_lines", F.split("text", "\n", -1))
+    bodies = F.transform("_places", lambda p: F.struct(p["chunk"].alias("chunk"), _body(F.col("_lines"), p["first"], p["last"]).alias("body")))
+    bodies = texts.select(F.explode(F.array_distinct(bodies)).alias("b")).select("b.chunk", "b.body").distinct()
+    differing = bodies.groupBy(F.col("chunk").alias("_chunk")).agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+    return places.join(differing, F.col("chunk") == F.col("_chunk"), "left_anti")
+
+
+def _with_places(docs: DataFrame, places: DataFrame, how: str) -> DataFrame:
+    """Documents with ``_places``, an array of their places (first, last, chunk), no longer than their lines."""
+    own = places.groupBy(F.col("doc_id").alias("_doc_id"), F.col("digest").alias("_digest"))
+    own = own.agg(F.array_sort(F.collect_set(F.struct("first", "last", "chunk"))).alias("_places"))
+    keyed = docs.withColumn("_own", _digest(F.col("text")))
+    match = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_own") == F.col("_digest"))
+    return keyed.join(own.hint("shuffle_hash"), match, how).drop("_doc_id", "_digest", "_own")
 
 
-def deduplicated(docs: DataFrame, every: int = EVERY) -> DataFrame:
+def deduplicated(docs: DataFrame) -> DataFrame:
     """Per document: its columns with the text that stays, n_lines, n_removed_chunks and n_removed_lines."""
     docs = documents_only(docs)
-    gone = repeated(docs, every).filter(~F.col("kept")).select("doc_id", "digest", "first", "last").distinct()
-    gone = gone.groupBy(F.col("doc_id").alias("_doc_id"), F.col("digest").alias("_digest"))
-    # A document's own chunks, so the list is no longer than its text.
-    gone = gone.agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("_gone"))
-    keyed = docs.withColumn("_own", _digest(F.col("text")))
-    match = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_own") == F.col("_digest"))
-    joined = keyed.join(gone.hint("shuffle_hash"), match, "left").withColumn("_lines", F.split("text", "\n", -1))
-    none = F.array().cast("array<struct<first:int,last:int>>")
-    joined = joined.withColumn("_gone", F.coalesce("_gone", none))
+    gone = repeated(docs).filter(~F.col("kept"))
+    joined = _with_places(docs, gone, "left").withColumn("_lines", F.split("text", "\n", -1))
+    span = "array<struct<first:int,last:int>>"
+
+    def step(done: Column, place: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        one = F.array(F.struct(place["first"].alias("first"), place["last"].alias("last"))).cast(span)
+        longer = F.array(F.struct(last["first"].alias("first"), F.greatest(last["last"], place["last"]).alias("last"))).cast(span)
+        # Pairs that share a line, or stand side by side, are one chunk.
+        touches = F.coalesce(last["last"] >= place["first"] - 1, F.lit(False))
+        return F.when(touches, F.concat(F.slice(done, 1, F.size(done) - 1), longer)).otherwise(F.concat(done, one))
+
+    places = F.coalesce("_places", F.array().cast("array<struct<first:int,last:int,chunk:binary>>"))
+    joined = joined.withColumn("_gone", F.aggregate(places, F.array().cast(span), step))
     # Lines between the removed chunks, in order.
     begins = F.concat(F.array(F.lit(1)), F.transform("_gone", lambda c: c["last"] + 1))
     ends = F.concat(F.transform("_gone", lambda c: c["first"] - 1), F.array(F.size("_lines")))

@@ -107,33 +107,30 @@ OP8 = """
 WITH docs AS (
   SELECT row_number() OVER () AS row_id, doc_id, text, md5(text) AS digest, string_split(text, chr(10)) AS lines
   FROM documents),
-numbers AS (
-  SELECT row_id, i, lines[i] AS line, ('0x' || substr(md5(lines[i]), 1, 7))::BIGINT AS number, len(lines) AS n
-  FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM docs WHERE text IS NOT NULL)),
-ends AS (
-  SELECT *, i = n OR (number + 31 * coalesce(lag(number) OVER (PARTITION BY row_id ORDER BY i), 0)) % 1000003 % 3 = 0
-            AS is_end
-  FROM numbers),
-chunks AS (
-  SELECT *, coalesce(sum(CAST(is_end AS INTEGER)) OVER (PARTITION BY row_id ORDER BY i
-                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM ends),
-bodies AS (
-  SELECT row_id, chunk, min(i) AS first, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body
-  FROM chunks GROUP BY row_id, chunk HAVING count(*) > 1),
-worded AS (SELECT * FROM bodies WHERE regexp_matches(body, '[^\x20\x09-\x0D]')),
+numbered AS (SELECT row_id, doc_id, digest, lines, unnest(range(1, len(lines) + 1)) AS i FROM docs WHERE text IS NOT NULL),
+worded AS (
+  SELECT *, lead(i) OVER (PARTITION BY row_id ORDER BY i) AS following FROM numbered
+  WHERE regexp_matches(lines[i], '[^\x20\x09-\x0D]')),
+pairs AS (
+  SELECT row_id, doc_id, digest, i AS first, following AS last, array_to_string(lines[i:following], chr(10)) AS body
+  FROM worded WHERE following IS NOT NULL),
 gone AS (
-  SELECT row_id, chunk, n FROM (
-    SELECT w.*, dense_rank() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST, digest, first) AS place
-    FROM worded w JOIN docs USING (row_id))
+  SELECT row_id, first, last FROM (
+    SELECT *, dense_rank() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST, digest, first) AS place FROM pairs)
   WHERE place > 1),
-lost AS (SELECT row_id, count(*) AS n_chunks, CAST(sum(n) AS BIGINT) AS n_lines FROM gone GROUP BY row_id),
-kept AS (
-  SELECT row_id, string_agg(line, chr(10) ORDER BY i) AS text
-  FROM chunks c ANTI JOIN gone g ON c.row_id = g.row_id AND c.chunk = g.chunk GROUP BY row_id)
-SELECT doc_id, CASE WHEN n_chunks > 0 THEN coalesce(kept.text, '') ELSE docs.text END AS text,
-       coalesce(len(lines), 0) AS n_lines, coalesce(n_chunks, 0) AS n_removed_chunks,
-       coalesce(lost.n_lines, 0) AS n_removed_lines
-FROM docs LEFT JOIN lost USING (row_id) LEFT JOIN kept USING (row_id)
+flagged AS (
+  SELECT n.row_id, n.i, n.lines[n.i] AS line,
+         EXISTS (SELECT 1 FROM gone g WHERE g.row_id = n.row_id AND n.i BETWEEN g.first AND g.last) AS is_gone
+  FROM numbered n),
+begun AS (
+  SELECT *, is_gone AND NOT coalesce(lag(is_gone) OVER (PARTITION BY row_id ORDER BY i), FALSE) AS begins FROM flagged),
+summed AS (
+  SELECT row_id, string_agg(line, chr(10) ORDER BY i) FILTER (NOT is_gone) AS text, count(*) AS n_lines,
+         count(*) FILTER (begins) AS n_chunks, count(*) FILTER (is_gone) AS n_gone
+  FROM begun GROUP BY row_id)
+SELECT doc_id, CASE WHEN n_chunks > 0 THEN coalesce(s.text, '') ELSE d.text END AS text, coalesce(n_lines, 0) AS n_lines,
+       coalesce(n_chunks, 0) AS n_removed_chunks, coalesce(n_gone, 0) AS n_removed_lines
+FROM docs d LEFT JOIN summed s USING (row_id)
 """
 
 
