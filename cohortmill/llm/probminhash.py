@@ -13,10 +13,11 @@ Jaccard similarity of the shingles reaches the threshold. Classes are the connec
 
 Buckets may be large, so not every pair in them is made. First the members of a bucket meet its leader, the
 node that shares buckets with most others: one pair a member. Nodes that are tied by such pairs, similar or
-not, are one cluster. Where a cluster of three nodes or more is not one class by then, all its texts are
-compared with each other, in blocks: a node goes once to each pair of blocks that its own is part of, a task
-compares two blocks at a time, and gives back no more links than tie its classes. So no two nodes that share
-a bucket are left uncompared, no pairs are written out, and no task holds more than two blocks.
+not, are one cluster. Where a cluster of three nodes or more is not one class by then, its texts outside of its
+largest class are compared with all its texts, in blocks: a node goes once to each pair of blocks that its own is part
+of, as shingles that are made once, a task compares two blocks at a time, and gives back no more links than tie its
+classes. Blocks of the largest class never meet each other, so the work grows with what is undecided. No two nodes that share
+a bucket and may be of different classes are left uncompared, no pairs are written out, and no task holds more than two blocks.
 
 A text that repeats a shingle has a second signature with all weights 1, with bands of its own, so that pairs
 are found by either similarity. With the default 24 bands of 5, a pair at the threshold of 0.8 in one of them
@@ -64,10 +65,14 @@ class _WordHashes(dict):
 _hash_of = _WordHashes()
 
 
+# The multipliers of a published 64-bit mixing function (splitmix64).
+MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A fixed scrambling of 64-bit numbers."""
-    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(MIX[0])
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(MIX[1])
     return values ^ (values >> np.uint64(31))
 
 
@@ -282,14 +287,40 @@ def _links_between(left: list[tuple], right: list[tuple], threshold: float, insi
     return links
 
 
+def _shingled(texts: DataFrame) -> DataFrame:
+    """Texts as bytes of their shingles' hashes and weights (no weights where all are 1)."""
+    schema = T.StructType([*[f for f in texts.schema if f.name != "text"], T.StructField("hashes", T.BinaryType()), T.StructField("weights", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [shingles(text.as_py()) for text in batch.column("text")]
+            arrays = [batch.column(name) for name in schema.fieldNames()[:-2]]
+            arrays.append(pa.array([hashes.tobytes() for hashes, _ in made], pa.binary()))
+            arrays.append(pa.array([w.tobytes() if len(w) and w.max() > 1.0 else b"" for _, w in made], pa.binary()))
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
+
+    return texts.mapInArrow(run, schema)
+
+
 def _compared(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) between the classes of similar texts of a cluster; nodes: (node, cluster, class)."""
     sized = nodes.join(texts.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node")).drop("_node")
-    sized = written(sized.withColumn("chars", F.length("text")))
-    blocks = sized.groupBy(F.col("cluster").alias("_cluster")).agg(F.ceil(F.sum("chars") / BLOCK_CHARS).alias("blocks"))
+    sized = written(_shingled(sized.withColumn("chars", F.length("text"))))
+    classes = sized.groupBy("cluster", "class").agg(F.sum("chars").alias("chars"))
+    # The largest class of a cluster is one already: its texts only meet the others.
+    largest = F.max(F.struct("chars", "class"))["class"].alias("largest")
+    needed = lambda chars: F.greatest(F.ceil(chars / BLOCK_CHARS), F.lit(1))
+    blocks = classes.groupBy(F.col("cluster").alias("_cluster")).agg(
+        largest, F.sum("chars").alias("_all"), F.max("chars").alias("_most")
+    )
+    blocks = blocks.select("_cluster", "largest", needed(F.col("_all") - F.col("_most")).alias("others"), needed(F.col("_most")).alias("large"))
     dealt = sized.join(blocks, F.col("cluster") == F.col("_cluster"))
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.greatest(F.col("blocks"), F.lit(1))))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    place, is_large = F.xxhash64("node"), F.col("class") == F.col("largest")
+    dealt = dealt.withColumn(
+        "block", F.when(is_large, F.col("others") + F.pmod(place, F.col("large"))).otherwise(F.pmod(place, F.col("others")))
+    )
+    last = F.when(is_large, F.col("others")).otherwise(F.col("others") + F.col("large")) - 1
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     keys = ["cluster", "low", "high"]
     met = dealt.select(
         "cluster",
@@ -297,7 +328,8 @@ def _compared(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
         F.greatest("block", "other").alias("high"),
         "block",
         "class",
-        "text",
+        "hashes",
+        "weights",
     )
     met = met.repartition(*keys).sortWithinPartitions(*keys)
 
@@ -310,13 +342,15 @@ def _compared(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
         current, sides = None, ([], [])
         for batch in batches:
-            for row in zip(*[batch.column(name) for name in (*keys, "block", "class", "text")], strict=True):
+            for row in zip(*[batch.column(name) for name in (*keys, "block", "class", "hashes", "weights")], strict=True):
                 key = tuple(value.as_py() for value in row[:3])
                 if key != current:
                     if current is not None:
                         yield answer(current, sides)
                     current, sides = key, ([], [])
-                sides[row[3].as_py() != key[1]].append((row[4].as_py(), *shingles(row[5].as_py())))
+                hashes = np.frombuffer(row[5].as_py(), np.uint64)
+                weights = np.frombuffer(row[6].as_py(), np.float64) if len(row[6].as_py()) else np.ones(len(hashes))
+                sides[row[3].as_py() != key[1]].append((row[4].as_py(), hashes, weights))
         if current is not None:
             yield answer(current, sides)
 
