@@ -7,12 +7,12 @@ insertion changes the chunks that touch it and no others. Chunks are identified
 bytes. Of the places of a digest that occurs again, the first by document id, then text hash, then position
 stays; the others are duplicates.
 
-Sizes in bytes: more than ``near`` but for a text's first and last chunk, about twice that on average, none
-above ``most``. A chunk ends at a whole code point. First, last and other chunks below ``near`` bytes are not
-compared, as pieces that short say little.
+Sizes in bytes: ``near`` and more, about twice that on average, none above ``most``: longer stretches without a least are cut
+into parts of equal length. A text of up to twice ``near`` is one chunk, however short. A chunk ends at a whole code
+point. All chunks are compared.
 
 Defined results: null and empty texts have no chunks. Repeated rows hold the same chunks, of which one stays.
-Null ids come last. Empty tables give empty results.
+Null ids come last. Very long texts are cut whole; other columns are not read. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -82,7 +82,8 @@ def cuts(text: bytes, near: int = NEAR, most: int = MOST) -> list[int]:
         start = 0
         for end in [*(found + near + 1).tolist(), size]:
             while end - start > most:
-                start = _whole(raw, start + most)
+                parts = -(-(end - start) // most)
+                start = _whole(raw, start + -(-(end - start) // parts))
                 ends.append(start)
             if end < size:
                 start = _whole(raw, end)
@@ -113,7 +114,7 @@ def chunked(docs: DataFrame, near: int = NEAR, most: int = MOST) -> DataFrame:
                 if not text:
                     continue
                 found = cuts(text, near, most)
-                spans = [span for span in zip([0, *found[:-1]], found, strict=True) if span[1] - span[0] >= near]
+                spans = list(zip([0, *found[:-1]], found, strict=True))
                 digests += [xxhash.xxh3_128_digest(text[start:end]) for start, end in spans]
                 rows += [row] * len(spans)
                 whole += [xxhash.xxh3_64_intdigest(text)] * len(spans)

@@ -11,8 +11,9 @@ moves them far. A language and size with fewer than ``least_docs`` documents use
 and none for entropy, which depends on size; a language with fewer than that rejects nothing.
 
 Defined results: null text has no words and tokens, fails the plain rules and is left out of the bands, as is
-text without tokens. Runs of 1,000 and more characters without a space are tokenised in slices of that
-length, as merging takes time by the square of a run. Ties keep a document: the bands' ends are inside.
+text without tokens. Runs of 1,000 and more characters without a space, or of white space, are tokenised in slices of that
+length, as merging takes time by the square of a run; the text between them, with the space before a run and the one behind, is
+tokenised whole. Ties keep a document: the bands' ends are inside. Very long texts are measured whole.
 Repeated rows are measured each, and an empty table gives an empty result.
 """
 
@@ -38,7 +39,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SPACE = b" \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
 LONG = 1000
-LONG_RUN = re.compile(rf"\S{{{LONG}}}|\s{{{LONG}}}")
+LONG_RUN = re.compile(rf" ?\S{{{LONG},}}|\s{{{LONG},}}")
 WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30
@@ -76,10 +77,16 @@ class Tokens:
 
     def of(self, text: str) -> np.ndarray:
         encode = self.encoding.encode_ordinary
-        if LONG_RUN.search(text):
-            slices = [text[at : at + LONG] for at in range(0, len(text), LONG)]
-            return np.array([token for part in slices for token in encode(part)], np.int64)
-        return np.array(encode(text), np.int64)
+        found: list[int] = []
+        done = 0
+        for run in LONG_RUN.finditer(text):
+            # The last white space before a word is part of the word's token, as is the one before a long run.
+            end = run.end() - 1 if run[0].isspace() and run.end() < len(text) else run.end()
+            found += encode(text[done : run.start()])
+            for at in range(run.start(), end, LONG):
+                found += encode(text[at : min(at + LONG, end)])
+            done = end
+        return np.array(found + encode(text[done:]), np.int64)
 
 
 _made: dict[bytes, Tokens] = {}
@@ -236,5 +243,5 @@ def judge(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY) -> Dat
     fine = ~F.col("base_failed")
     for name in odd:
         fine = fine & ~F.col(name)
-    names = [*keep, *[name for name, _ in METRICS], "entropy_lack", "kind", "base_failed", *odd]
-    return judged.withColumn("kept", fine).select(*names, "kept")
+    plain, others = [name for name, _ in METRICS[:5]], [name for name, _ in METRICS[5:]]
+    return judged.withColumn("kept", fine).select(*keep, *plain, "base_failed", "kept", *others, "entropy_lack", "kind", *odd)

@@ -6,19 +6,22 @@ number of phrases times the bits that point into the labelled text is the length
 document by that language; the language with the shortest description wins.
 
 The labelled text is a bounded sample: ``sample_chars`` characters a language, from whole documents in the
-order of a hash of their text, the last one cut. Letters count in lower case; digits, signs and white space
+order of a hash of their text, each text once, with its first ``slice_chars`` at most, so that neither copies nor a long text
+fill it; the last one cut. Letters count in lower case; digits, signs and white space
 count as one space, so that neither layout nor repeated signs speak for a language. Only the sample is bounded; every document is parsed to its
 end. A worker holds one automaton per language, so its memory grows with languages, not with documents.
 
 Defined results: text without a letter, empty or null is ``und`` with score 0. Equal description lengths go
 to the language first by name. With no labelled text at all, everything is ``und``. Rows without a language,
-or with text without a letter, teach nothing. Repeated rows get the same answer, and an empty table an empty result.
+or with text without a letter, teach nothing. Repeated rows get the same answer, and an empty table an empty result. Very long texts
+are parsed whole; columns of other names are left alone.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,8 +32,11 @@ from pyspark.sql import types as T
 from cohortmill.llm.common import documents_only
 
 SAMPLE_CHARS = 30_000
+SLICE_CHARS = 2_000
 UNKNOWN = "und"
-OTHER = re.compile(r"[\W\d_]+")
+# What is alphanumeric but neither a decimal digit nor a letter: superscripts, fractions, Roman numerals and such.
+NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+OTHER = re.compile(rf"[\W\d_{NUMBERS}]+")
 
 
 def letters(text: str) -> str:
@@ -128,25 +134,30 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def learn(labelled: DataFrame, sample_chars: int = SAMPLE_CHARS) -> dict[str, str]:
+def learn(labelled: DataFrame, sample_chars: int = SAMPLE_CHARS, slice_chars: int = SLICE_CHARS) -> dict[str, str]:
     """Letters of the sample text per language, from at most ``sample_chars`` characters each.
 
+    Each text of a language counts once, with its first ``slice_chars``; copies are brought together with partial groups first.
     Sizes per language fix the share of hash values that is enough, so that only about twice the sample is
     sorted and brought here.
     """
     known = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    known = known.select("lang", "text", F.pmod(F.xxhash64("text"), F.lit(1 << 30)).alias("place"))
-    sizes = known.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"), F.max(F.length("text")).alias("longest"))
-    enough = (F.lit(float(1 << 30)) * (2 * sample_chars + F.col("longest")) / F.col("chars")).alias("enough")
-    chosen = known.join(F.broadcast(sizes.select("lang", enough)), "lang").filter(F.col("place") <= F.col("enough"))
-    order = Window.partitionBy("lang").orderBy("place", "text")
+    known = known.select("lang", F.substring("text", 1, slice_chars).alias("text"), F.xxhash64("text").alias("own"))
+    texts = known.groupBy("lang", "own").agg(F.max(F.length("text")).alias("chars"))
+    sizes = texts.groupBy("lang").agg(F.sum("chars").alias("chars"))
+    space = 1 << 30
+    enough = (F.lit(float(space)) * (2 * sample_chars + slice_chars) / F.col("chars")).alias("enough")
+    place = F.pmod("own", F.lit(space))
+    chosen = known.join(F.broadcast(sizes.select("lang", enough)), "lang").filter(place <= F.col("enough"))
+    chosen = chosen.groupBy("lang", "own").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy(F.pmod("own", F.lit(space)), "own")
     chosen = chosen.withColumn("before", F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1)))
     chosen = chosen.withColumn("before", F.coalesce("before", F.lit(0))).filter(F.col("before") < sample_chars)
     left = (F.lit(sample_chars) - F.col("before")).cast("int")
-    texts: dict[str, list] = {}
+    parts: dict[str, list] = {}
     for row in chosen.select("lang", "before", F.substring("text", F.lit(1), left).alias("text")).collect():
-        texts.setdefault(row.lang, []).append((row.before, row.text))
-    return {lang: letters("\n".join(text for _, text in sorted(parts))) for lang, parts in texts.items()}
+        parts.setdefault(row.lang, []).append((row.before, row.text))
+    return {lang: letters("\n".join(text for _, text in sorted(found))) for lang, found in parts.items()}
 
 
 def identify(docs: DataFrame, sample: dict[str, str], keep: list[str]) -> DataFrame:

@@ -158,7 +158,7 @@ WITH RECURSIVE bits AS (
 crcs AS (SELECT list(crc ORDER BY entry) AS crc_of FROM bits WHERE step = 8),
 digits AS (
   SELECT row_number() OVER () AS row_id, doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS digits,
-         ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), text, '')), 1, 15))::HUGEINT AS key
+         ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::HUGEINT AS key
   FROM documents),
 bytes AS (
   SELECT row_id, list_transform(range(n), lambda i:

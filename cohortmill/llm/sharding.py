@@ -3,9 +3,10 @@
 A key's shard follows from the key and the number of shards alone. When shards are appended, a key either
 stays or moves to a new shard, and only the share that the new shards need moves.
 
-Defined results: a null key is replaced by a hash of the text, so that rows without a key spread as well;
-where the text is null too, the row goes with the key of the empty text. Rows with one key go to one shard,
-repeated rows included. Empty tables give empty results.
+Defined results: the key and the number of shards alone decide, so all rows without a key go to one shard, as null is a
+key like any other. Rows with one key go to one shard, repeated rows included. A null text has size 1 and the checksum of the
+empty text. Very long texts count whole, and columns other than key and text are not read (``write_shards`` keeps them all and asks
+for another name where one is called like the shard's). Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -48,10 +49,10 @@ def shard_of(key: Column, shards: int) -> Column:
     return placed(key)
 
 
-def stable_key(key: Column, text: Column) -> Column:
-    """60 bits of the digest of a key's text; of the document text where there is no key."""
-    known = F.coalesce(F.md5(key.cast("string").cast("binary")), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
-    return F.conv(F.substring(known, 1, 15), 16, 10).cast("long")
+def stable_key(key: Column) -> Column:
+    """60 bits of the digest of a key's text; null is the key of the empty text."""
+    digest = F.md5(F.coalesce(key.cast("string"), F.lit("")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
 def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -64,7 +65,7 @@ def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text"
         F.col(key).alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
-        stable_key(F.col(key), F.col(text)).alias("_key"),
+        stable_key(F.col(key)).alias("_key"),
     )
     placed = placed.withColumn("shard", shard_of(F.col("_key"), shards))
     placed = placed.withColumn("grown_shard", shard_of(F.col("_key"), shards + 1)).drop("_key")
@@ -74,7 +75,8 @@ def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text"
     return counted.withColumn("slot", F.col("_upto") - 1).drop("_one", "_upto")
 
 
-def write_shards(docs: DataFrame, path: str, shards: int, key: str = "doc_id", text: str = "text") -> None:
-    """Whole rows as Parquet, one folder per shard; a shard's rows come from many tasks."""
-    shard = shard_of(stable_key(F.col(key), F.col(text)), shards)
-    docs.withColumn("shard", shard).write.mode("overwrite").partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, shards: int, key: str = "doc_id", name: str = "shard") -> None:
+    """Whole rows as Parquet, one folder per shard, named ``name=...``; a shard's rows come from many tasks."""
+    if name in docs.columns:
+        raise ValueError(f"the rows have a column {name!r}; name the shards otherwise")
+    docs.withColumn(name, shard_of(stable_key(F.col(key)), shards)).write.mode("overwrite").partitionBy(name).parquet(path)
