@@ -42,8 +42,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents and their shard."""
     docs = documents_only(docs)
-    key = sharding.stable_key(F.col("doc_id"), F.col("text"))
-    return docs.withColumn("shard", sharding.shard_of(key, SHARDS))
+    return docs.withColumn("shard", sharding.shard_of(sharding.stable_key(F.col("doc_id")), SHARDS))
 
 
 STAGES = [
