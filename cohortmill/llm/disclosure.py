@@ -269,10 +269,14 @@ def detect(
     entities = found.dropDuplicates(["doc_id", "digest"]).withColumnsRenamed({"doc_id": "_doc_id", "digest": "_digest"})
     masks = entities.select("_doc_id", "_digest", "masked")
     placed = holding.join(masks, match, "left").withColumn("masked", F.coalesce("masked", plain(F.col("text"))))
-    placed = spans.found(placed.drop("_doc_id", "_digest"), "masked", [Rule("term", TERM, r"\p{L}{3}")])
+    # The text's own terms alone are looked for; they are nothing but letters.
+    own = F.array_join(F.transform("held", lambda h: h["term"]), "|")
+    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), own, F.lit(r")(?!\p{L})"))
+    placed = placed.withColumns({"_values": F.regexp_extract_all("masked", pattern, F.lit(0)), "_gaps": F.split("masked", pattern, -1)})
     alone = F.map_from_entries("held")
-    marks = F.transform("_term", lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), alone[t["value"]].alias("alone")))
-    placed = placed.select("doc_id", "digest", "text", F.filter(marks, lambda t: t["alone"].isNotNull()).alias("terms"))
+    found_terms = spans.placed("term", F.slice("_gaps", F.lit(1), F.size("_values")), F.col("_values"))
+    marks = F.transform(found_terms, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), alone[t["value"]].alias("alone")))
+    placed = placed.select("doc_id", "digest", "text", marks.alias("terms"))
     entities = entities.select("_doc_id", "_digest", F.col("text").alias("_text"), "found")
     both = placed.join(entities, match, "full")
     empty = F.array().cast("array<struct<start:bigint,end:bigint,alone:boolean>>")

@@ -36,7 +36,7 @@ def none() -> Column:
     return F.array().cast(f"array<{SPAN}>")
 
 
-def _placed(kind: str, gaps: Column, values: Column) -> Column:
+def placed(kind: str, gaps: Column, values: Column) -> Column:
     """The matches with their places, from the text before each and its own."""
     pairs = F.zip_with(gaps, values, lambda gap, value: F.struct(gap.alias("gap"), value.alias("value")))
     count = F.size(values)
@@ -57,11 +57,11 @@ def _placed(kind: str, gaps: Column, values: Column) -> Column:
         span = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"), pair["value"].alias("value"))
         return F.struct(end.alias("end"), F.concat(state["found"], F.array(span.cast(SPAN))).alias("found"))
 
-    def placed(block: Column, base: Column) -> Column:
+    def in_block(block: Column, base: Column) -> Column:
         start = F.struct(base.alias("end"), none().alias("found"))
         return F.aggregate(block, start, step, lambda state: state["found"])
 
-    return F.flatten(F.zip_with(blocks, bases, placed))
+    return F.flatten(F.zip_with(blocks, bases, in_block))
 
 
 def found(df: DataFrame, text: str, rules: list[Rule], wanted: dict[str, Column] | None = None) -> DataFrame:
@@ -81,7 +81,7 @@ def found(df: DataFrame, text: str, rules: list[Rule], wanted: dict[str, Column]
     for rule in rules:
         kind = rule.kind
         values, gaps = F.col(f"_{kind}_values"), F.col(f"_{kind}_gaps")
-        spans = _placed(kind, F.slice(gaps, 1, F.size(values)), values)
+        spans = placed(kind, F.slice(gaps, 1, F.size(values)), values)
         if rule.check is not None:
             check = rule.check
             spans = F.filter(spans, lambda span: check(span["value"]))
