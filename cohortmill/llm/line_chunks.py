@@ -32,7 +32,14 @@ def _digest(text: Column) -> Column:
 
 
 def _body(lines: Column, first: Column, last: Column) -> Column:
-    return F.array_join(F.slice(lines, first, last - first + 1), "\n")
+    """Lines from one to another with a word, as text. A slice reads all lines of the document, so neighbours and those with
+    one line between are picked one by one."""
+
+    def picked(count: int) -> Column:
+        return F.concat_ws("\n", *[F.element_at(lines, first + at) for at in range(count)])
+
+    gap = last - first
+    return F.when(gap == 1, picked(2)).when(gap == 2, picked(3)).otherwise(F.array_join(F.slice(lines, first, gap + 1), "\n"))
 
 
 def pairs(docs: DataFrame) -> DataFrame:
@@ -50,7 +57,8 @@ def pairs(docs: DataFrame) -> DataFrame:
     count = F.greatest(F.size("worded") - 1, F.lit(0))
     pairs_of = F.zip_with(F.slice("worded", F.lit(1), count), F.slice("worded", F.lit(2), count), pair)
     found = lines.select("doc_id", "digest", pairs_of.alias("pairs"))
-    return found.select("doc_id", "digest", F.explode("pairs").alias("p")).select("doc_id", "digest", "p.*")
+    # With the outer form no filter on the array's size is moved below, which would cut the text anew for every line.
+    return found.select("doc_id", "digest", F.explode_outer("pairs").alias("p")).filter("p is not null").select("doc_id", "digest", "p.*")
 
 
 def repeated(docs: DataFrame) -> DataFrame:
@@ -64,7 +72,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     texts = _with_places(docs.select("doc_id", "text"), places, "inner")
     texts = texts.withColumn("_lines", F.split("text", "\n", -1))
     bodies = F.transform("_places", lambda p: F.struct(p["chunk"].alias("chunk"), _body(F.col("_lines"), p["first"], p["last"]).alias("body")))
-    bodies = texts.select(F.explode(F.array_distinct(bodies)).alias("b")).select("b.chunk", "b.body").distinct()
+    bodies = texts.select(F.explode_outer(F.array_distinct(bodies)).alias("b")).select("b.chunk", "b.body").distinct()
     differing = bodies.groupBy(F.col("chunk").alias("_chunk")).agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
     return places.join(differing, F.col("chunk") == F.col("_chunk"), "left_anti")
 
