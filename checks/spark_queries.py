@@ -14,7 +14,7 @@ from cohortmill.operators import coefficients as coef
 from cohortmill.operators import curve, fallback, hierarchy, ledger, measures, outliers, regression, values
 from cohortmill.plans.jobs import ChannelValues, SuffixValues, run_windows
 from cohortmill.plans.ledger_runs import LedgerRuns
-from cohortmill.schema import COMPUTE_COLS, DIMENSIONS, MEASURES
+from cohortmill.schema import COMPUTE_COLS, DIMENSIONS, MEASURES, REFER_COLS
 from cohortmill.sources import fixtures as fx
 from cohortmill.sources import sinks
 from cohortmill.sources.checkpoints import new_path, written
@@ -217,9 +217,48 @@ def coef_fallback_v2(spark, sf):
     return rounded(fallback.suffix_fallback(cohort, job.coefs))
 
 
+def fallback_every_level_v1(spark, sf):
+    """Each refer tuple with none to all of its labels, from the finest on, replaced by labels that no channel has."""
+    job = _channel(spark, sf)
+    refers = values.channel_cohort(job.rolled, WINDOWS).select("type", *REFER_COLS).distinct()
+    variants = refers.withColumn("_v", F.explode(F.sequence(F.lit(0), F.lit(4))))
+    foreign = {
+        name: F.when(F.col("_v") > place, F.concat(F.lit("foreign "), name)).otherwise(F.col(name))
+        for place, name in enumerate(REFER_COLS)
+    }
+    variants = written(variants.withColumns(foreign).drop("_v").distinct())
+    found = fallback.channel_fallback(variants, job.repaired)
+    return rounded(variants.join(found, ["type", *REFER_COLS], "left"))
+
+
+def fallback_every_level_v2(spark, sf):
+    """Coefficients of days with few registrants too, some of the longest suffixes taken as valid, and each key once more with a
+    business type that none has."""
+    rows = _sum(spark, sf).select("type", "ds", *DIMENSIONS, *MEASURES)
+    job = SuffixValues(written(rows), WINDOWS, 1, floor=None)
+    keys = ["type", *DIMENSIONS[1:]]
+    cohort = job.rows.where(WINDOWS.cohort.holds(F.col("ds"))).select(*keys).distinct()
+    last = DIMENSIONS[-1]
+    wanted = written(cohort.unionByName(cohort.withColumn(last, F.concat(F.lit("foreign "), last))))
+    also = ((F.col("level") == 5) & (F.col("ora_channel") < "C")) | (
+        (F.col("level") == 4) & F.col("ora_activity_type").startswith("1")
+    )
+    coefs = job.coefs.withColumn("valid", F.when(also, 1).otherwise(F.col("valid")))
+    return rounded(wanted.join(fallback.suffix_fallback(wanted, coefs), keys, "left"))
+
+
 # Values and reports
 
 
+def report_missing_types(spark, sf):
+    """The report where some channels have no rows of one or two profit types, so no total."""
+    valued = _channel(spark, sf).values
+    gone = ((F.col("type_name") == AD) & (F.col("channel_category") < "B")) | (
+        (F.col("type_name") == LICAI) & (F.col("channel_category") > "M")
+    )
+    return rounded(values.channel_report(valued.where(~gone)))
+
+
 def user_value_v1(spark, sf):
     return rounded(_channel(spark, sf).values)
 
@@ -415,6 +454,9 @@ QUERIES = {
         ledger_full_scope,
         ledger_resume,
         ledger_three_runs,
+        fallback_every_level_v1,
+        fallback_every_level_v2,
+        report_missing_types,
         sink_round_trip,
     )
 }

@@ -33,7 +33,8 @@ def refer_input(rolled: DataFrame, windows: ReferenceWindows) -> DataFrame:
         "type", *[F.col(refer).alias(compute) for compute, refer in HIERARCHY]
     )
     own = rolled.where(F.col("channel_class_value_refer") == F.col("channel_class"))
-    return drop_outliers(own, keys).join(seen.distinct(), keys, "left_semi")
+    # The tuples are the groups of the statistics too, so others need none.
+    return drop_outliers(own.join(seen.distinct(), keys, "left_semi"), keys)
 
 
 def refer_daily(rolled: DataFrame, windows: ReferenceWindows) -> DataFrame:

@@ -17,12 +17,15 @@ OBSERVED_MONTHS = MONTHS[:30]
 FITTED_MONTHS = MONTHS[30:]
 
 # Decay search: b = k * DECAY_UNIT for whole k, so every engine tries the same doubles. The first grid
-# spans [-0.5, 3.0] and leaves out b = 0. While the best k is at an end, a grid of the same length beyond that
-# end is tried, WIDENINGS times at most; each later grid spans one step either side of the best k so far.
+# spans [-0.5, 3.0] and leaves out b = 0. Where its best k is at an end, the search goes on beyond that end in steps
+# that grow with k, up to LIMITS, where exp(-b) or its inverse after 35 months leaves the range of doubles: further
+# decays give the same curve or none. Each later grid spans one step either side of the best k so far, with a tenth of the
+# step, down to single units.
 DECAY_UNIT = 5e-7
 FIRST_GRID = (-950_000, 5_950_000, 100_000)
-WIDENINGS = 4
-REFINEMENTS = (10_000, 1_000, 100, 10, 1)
+LIMITS = (-20.0, 745.0)
+STEPS_AN_OCTAVE = 8
+ROUNDS = 9
 
 
 def curve_days(curve_end: dt.date, curve_start: dt.date = CURVE_START) -> Column:
@@ -48,11 +51,22 @@ def curve_points(means: DataFrame) -> DataFrame:
     return long.select("channel_category", index.alias("x"), F.coalesce("profit", F.lit(0.0)).alias("profit"))
 
 
-def _grid_best(points: Column, grid: Column) -> Column:
+def _beyond(end: int) -> list[int]:
+    """Ever larger k from an end of the first grid to the limit on its side."""
+    limit = LIMITS[0 if end < 0 else 1] / DECAY_UNIT
+    grid = [end]
+    while abs(grid[-1]) < abs(limit):
+        grid.append(round(end * 2 ** (len(grid) / STEPS_AN_OCTAVE)))
+    return grid
+
+
+def _grid_best(points: Column, grid: Column, low: int) -> Column:
     """Best decay of a grid: struct (sse, k, a, c) of the least-squares fit ``a * exp(-b * x) + c``.
 
-    For a given b the model is linear, so a and c have a closed form and only b is searched.
+    For a given b the model is linear, so a and c have a closed form and only b is searched. Below ``low``, growth is counted
+    back from the last month, as its squares would leave the range of doubles.
     """
+    last = float(len(MONTHS) - 1)
     n = float(len(MONTHS))
     zero = F.lit(0.0)
     sum_y = F.aggregate(points, zero, lambda total, y: total + y)
@@ -60,7 +74,8 @@ def _grid_best(points: Column, grid: Column) -> Column:
 
     def fit(k: Column) -> Column:
         b = k.cast("double") * F.lit(DECAY_UNIT)
-        basis = F.transform(points, lambda _, x: F.exp(-b * x.cast("double")))
+        shift = F.when(k < low, last).otherwise(zero)
+        basis = F.transform(points, lambda _, x: F.exp(-b * (x.cast("double") - shift)))
         sums = F.aggregate(
             F.arrays_zip(points.alias("y"), basis.alias("e")),
             F.struct(zero.alias("e"), zero.alias("ee"), zero.alias("ye")),
@@ -79,7 +94,9 @@ def _grid_best(points: Column, grid: Column) -> Column:
         a = F.when(spread > 0, joint / spread).otherwise(zero)
         c = (sum_y - a * s["e"]) / n
         sse = sum_yy - sum_y * sum_y / n - a * joint
-        return F.struct(sse.alias("sse"), row["k"].alias("k"), a.alias("a"), c.alias("c"))
+        back = F.exp(F.lit(DECAY_UNIT * last) * row["k"].cast("double"))
+        first = F.when(row["k"] < low, a * back).otherwise(a)
+        return F.struct(sse.alias("sse"), row["k"].alias("k"), first.alias("a"), c.alias("c"))
 
     return F.array_min(F.transform(F.transform(grid, fit), solve))
 
@@ -88,26 +105,33 @@ def exp_fit(means: DataFrame, first_grid: tuple[int, int, int] = FIRST_GRID) ->
     """Least-squares ``a, b, c`` of ``a * exp(-b * x) + c`` over x = 0..35 per category.
 
     Works on the one row of each category, so it needs no shuffle. Always yields the best grid point; ``edge``
-    tells that it is at an end of what was searched, so the fit may lie beyond.
+    tells that it is at a limit of what doubles can hold, so the fit may lie beyond. Decays of about 20 and more all but
+    vanish in the second month: any of them gives the same curve.
     """
     months = F.expr(f"array({', '.join(f'coalesce(m{n}, 0D)' for n in MONTHS)})")
     fitted = means.withColumn("_points", months)
     low, high, step = first_grid
-    span = high - low
     first = F.sequence(F.lit(low), F.lit(high), F.lit(step))
-    fitted = fitted.withColumn("_best", _grid_best(F.col("_points"), first))
-    for times in range(WIDENINGS):
-        best = F.col("_best.k")
-        above, below = best == high + times * span, best == low - times * span
-        start = F.when(above, best).otherwise(best - span)
-        beyond = _grid_best(F.col("_points"), F.sequence(start, start + span, F.lit(step)))
-        fitted = fitted.withColumn("_best", F.when(above | below, beyond).otherwise(F.col("_best")))
-    furthest = F.col("_best.k").isin(low - WIDENINGS * span, high + WIDENINGS * span)
-    fitted = fitted.withColumn("_edge", furthest)
-    for step in REFINEMENTS:
-        best = F.col("_best.k")
-        around = F.sequence(best - F.lit(10 * step), best + F.lit(10 * step), F.lit(step))
-        fitted = fitted.withColumn("_best", _grid_best(F.col("_points"), around))
+    fitted = fitted.withColumn("_best", _grid_best(F.col("_points"), first, low))
+    sides = {end: _beyond(end) for end in (low, high)}
+    best, at_end = F.col("_best.k"), F.col("_best.k").isin(low, high)
+    beyond = F.when(best == low, F.lit(sides[low])).otherwise(F.lit(sides[high]))
+    fitted = fitted.withColumn("_best", F.when(at_end, _grid_best(F.col("_points"), beyond, low)).otherwise(F.col("_best")))
+    outside = (best <= low) | (best >= high)
+    fitted = fitted.withColumns(
+        {
+            "_edge": best.isin(sides[low][-1], sides[high][-1]),
+            "_step": F.when(outside, F.ceil(F.abs(best) * (2 ** (1 / STEPS_AN_OCTAVE) - 1))).otherwise(F.lit(step)).cast("int"),
+        }
+    )
+    for _ in range(ROUNDS):
+        wide = F.col("_step")
+        fitted = fitted.withColumn("_finer", F.ceil(wide / 10).cast("int"))
+        around = F.sequence(best - 10 * F.col("_finer"), best + 10 * F.col("_finer"), F.col("_finer"))
+        found = _grid_best(F.col("_points"), around, low)
+        fitted = fitted.withColumns(
+            {"_best": F.when(wide > 1, found).otherwise(F.col("_best")), "_step": F.when(wide > 1, F.col("_finer")).otherwise(wide)}
+        )
     return fitted.select(
         *means.columns,
         F.col("_best.a").alias("a"),
@@ -117,11 +141,12 @@ def exp_fit(means: DataFrame, first_grid: tuple[int, int, int] = FIRST_GRID) ->
     )
 
 
-def margin_share(base: DataFrame, days: Column, tail_offset: int = 1) -> DataFrame:
+def margin_share(base: DataFrame, days: Column, tail_offset: int = 1, flagged: bool = False) -> DataFrame:
     """Shares of the first year's margin, ``r_m01`` to ``r_m36``, per category.
 
     Months 1 to 30 are observed, 31 to 36 fitted. The fit counts month 1 as x = 0; the tail reads month n
-    at ``x = n - 1 + tail_offset``, one month late by default. Shares are null without a first-year margin.
+    at ``x = n - 1 + tail_offset``, one month late by default. Shares are null without a first-year margin. ``flagged`` adds ``fit_edge``, whether the
+    fit is at a limit of the search.
     """
     first_year = " + ".join(f"m{n}" for n in MONTHS[:12])
     observed = [f"try_divide(m{n}, _year) AS r_m{n}" for n in OBSERVED_MONTHS]
@@ -131,5 +156,6 @@ def margin_share(base: DataFrame, days: Column, tail_offset: int = 1) -> DataFra
     ]
     curves = exp_fit(curve_mean(base, days)).select("*", F.expr(f"{first_year} AS _year"), *fitted)
     return curves.selectExpr(
-        "channel_category", *observed, *[f"try_divide(f{n}, _year) AS r_m{n}" for n in FITTED_MONTHS]
+        "channel_category", *observed, *[f"try_divide(f{n}, _year) AS r_m{n}" for n in FITTED_MONTHS],
+        *(["edge AS fit_edge"] if flagged else []),
     )

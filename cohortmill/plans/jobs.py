@@ -120,9 +120,9 @@ def run_margin_curve(
     curve_start: dt.date = CURVE_START,
     period: Period | None = None,
 ):
-    """Compute the margin share curve of a run and replace its partition."""
+    """Compute the margin share curve of a run, with a flag for fits at a limit, and replace its partition."""
     windows = run_windows(mode, t, period)
-    shares = curve.margin_share(profit_rows(base), curve.curve_days(windows.curve.hi, curve_start))
+    shares = curve.margin_share(profit_rows(base), curve.curve_days(windows.curve.hi, curve_start), flagged=True)
     _put(shares, target, mode, windows)
 
 
