@@ -40,8 +40,8 @@ THRESHOLD = 0.8
 #: Bits of evidence that halve a share, see above.
 SMOOTHING = 3.0
 TERM = r"\p{L}{3,}"
-#: Largest table of disclosing terms that is sent to every task.
-BROADCAST_BYTES = 8 << 20
+#: Largest table of terms, or of documents that hold some, that is sent to every task.
+BROADCAST_BYTES = 16 << 20
 PLACEHOLDERS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>", "term": "<TERM>"}
 
 
@@ -146,7 +146,8 @@ def _words(text: Column) -> Column:
 
 def _terms(rows: DataFrame, words: Column, *keep: str) -> DataFrame:
     """One row for each term, with the kept columns."""
-    each = rows.select(*keep, F.explode(words).alias("term"))
+    # The outer form, as else a filter on the array's size would cut every text twice.
+    each = rows.select(*keep, F.explode_outer(words).alias("term"))
     return each.filter(F.length("term") >= 3)
 
 
@@ -175,9 +176,15 @@ def _masked() -> Column:
     )
 
 
-def term_counts(docs: DataFrame, texts: DataFrame) -> DataFrame:
+def _small(table: DataFrame, *size: Column) -> DataFrame | None:
+    """A written table marked to be sent to every task, where the sum of its rows' sizes allows that."""
+    total = table.agg(F.sum(sum(size, F.lit(16)))).first()[0] or 0
+    return F.broadcast(table) if total <= BROADCAST_BYTES else None
+
+
+def term_counts(docs: DataFrame, texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """hash (of a term) and n_term, the documents that hold it outside of entities; texts: rows, plain and masked of
-    those that hold entities."""
+    those that hold entities; wanted: a written table of the terms that are asked for (others may be counted too)."""
     one = F.lit(1).cast("bigint").alias("n")
     counts = _terms(docs.select(plain(F.col("text")).alias("plain")), _words(F.col("plain"))).select("term", one)
     # What the words of entities change in that.
@@ -185,6 +192,10 @@ def term_counts(docs: DataFrame, texts: DataFrame) -> DataFrame:
     less = _terms(texts, F.array_except(held, rest), "rows").select("term", (-F.col("rows")).alias("n"))
     more = _terms(texts, F.array_except(rest, held), "rows").select("term", F.col("rows").alias("n"))
     counts = counts.unionByName(less).unionByName(more).select(F.xxhash64("term").alias("hash"), "n")
+    # Where they are few, other terms are left out before the shuffle.
+    few = _small(wanted.select(F.xxhash64("term").alias("_hash")))
+    if few is not None:
+        counts = counts.join(few, F.col("hash") == F.col("_hash"), "left_semi")
     return counts.groupBy("hash").agg(F.sum("n").alias("n_term"))
 
 
@@ -194,6 +205,8 @@ def disclosing(
     """(entity, term, share, alone): pairs whose share of disclosure reaches the threshold; found: doc_id, digest,
     text, plain, found and masked."""
     total = float(docs.count())
+    if reach is None:
+        found = found.drop("text")
     # Documents are counted by rows of the table, each text once with the number of its rows.
     rows_of = found.groupBy(F.col("digest").alias("_digest")).agg(F.count(F.lit(1)).alias("rows"))
     texts = found.dropDuplicates(["digest"]).join(rows_of, F.col("digest") == F.col("_digest")).drop("_digest")
@@ -208,12 +221,13 @@ def disclosing(
     # Terms that can disclose anything: concentrated in documents with entities.
     here = written(_terms(texts, _words(F.col("masked")), "digest", "rows"))
     among = here.groupBy("term").agg(F.sum("rows").alias("n_held"), F.count(F.lit(1)).alias("texts")).filter("texts > 1")
-    counts = term_counts(docs, texts)
-    among = among.join(counts, F.xxhash64("term") == F.col("hash"))
+    among = written(among)
+    among = among.join(term_counts(docs, texts, among), F.xxhash64("term") == F.col("hash"))
     least = F.pow(F.col("n_term") / total, F.lit((1 - threshold) / threshold)) if threshold > 0 else F.lit(0.0)
     # A millionth less, as these are rounded numbers.
     among = written(among.filter(F.col("n_held") / F.col("n_term") >= least * (1 - 1e-6)).select(F.col("term").alias("_term"), "n_term"))
-    here = here.join(among, F.col("term") == F.col("_term")).select("digest", "term", "n_term")
+    few = _small(among, F.octet_length("_term"))
+    here = here.join(among if few is None else few, F.col("term") == F.col("_term")).select("digest", "term", "n_term")
     if reach is not None:
         near = near_terms(texts.withColumn("text", F.col("plain")), reach)
         near = near.select(F.col("digest").alias("_digest"), F.col("entity").alias("_near"), F.col("term").alias("_term")).distinct()
@@ -237,67 +251,59 @@ def disclosing(
 
 
 def holders(docs: DataFrame, told: DataFrame) -> DataFrame:
-    """Documents that hold told terms: doc_id, digest, text and ``held``, the terms with whether they are alone.
-
-    The terms are sent to all tasks where they are few, by their measured size; else they meet the documents' words in
-    a shuffle. Repeated rows are one.
-    """
+    """Documents that hold told terms (_term, alone; a written table): doc_id, digest, text and ``held``, the terms with whether
+    they are alone. Tables are sent to all tasks where they are small by their measured size, else they are shuffled."""
     texts = docs.filter(F.col("text").isNotNull())
     texts = texts.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "text")
-    size = told.agg(F.sum(F.octet_length("_term") + 16)).first()[0] or 0
-    told = F.broadcast(told) if size <= BROADCAST_BYTES else told
-    each = _terms(texts, _words(plain(F.col("text"))), "doc_id", "digest").join(told, F.col("term") == F.col("_term"))
+    few = _small(told, F.octet_length("_term"))
+    each = _terms(texts, _words(plain(F.col("text"))), "doc_id", "digest")
+    each = each.join(told if few is None else few, F.col("term") == F.col("_term"))
     held = each.groupBy(F.col("doc_id").alias("_doc_id"), F.col("digest").alias("_digest"))
-    held = held.agg(F.collect_set(F.struct("term", "alone")).alias("held"))
+    held = written(held.agg(F.collect_set(F.struct("term", "alone")).alias("held")))
+    few = _small(held, F.octet_length("_digest"), F.size("held") * 32)
     match = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("digest") == F.col("_digest"))
-    return texts.join(held, match).drop("_doc_id", "_digest").dropDuplicates(["doc_id", "digest"])
+    return texts.join(held if few is None else few, match).drop("_doc_id", "_digest")
 
 
 def detect(
     docs: DataFrame, reach: int | None = None, threshold: float = THRESHOLD, smoothing: float = SMOOTHING
 ) -> DataFrame:
-    """Per document with any: doc_id, text, found (spans with values), terms (places of disclosing terms, and whether
-    they occur with an entity alone). Repeated rows are one."""
+    """Per document with any: doc_id, digest (of its text), found (kind, start, end of entities) and terms (start, end of
+    disclosing terms, and whether they occur with an entity alone). Repeated rows are one."""
     found = personal(docs).filter(F.size("found") > 0)
     own = plain(F.col("text")).alias("plain")
     found = found.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "text", own, "found", _masked().alias("masked"))
     found = written(found.withColumn("masked", plain(F.col("masked"))))
     # A term that discloses several entities is removed if it occurs with any of them alone.
     told = disclosing(docs, found, reach, threshold, smoothing).groupBy(F.col("term").alias("_term")).agg(F.max("alone").alias("alone"))
-    match = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("digest") == F.col("_digest"))
-    holding = written(holders(docs, written(told)))
-    entities = found.dropDuplicates(["doc_id", "digest"]).withColumnsRenamed({"doc_id": "_doc_id", "digest": "_digest"})
-    masks = entities.select("_doc_id", "_digest", "masked")
-    placed = holding.join(masks, match, "left").withColumn("masked", F.coalesce("masked", plain(F.col("text"))))
+    holding = holders(docs, written(told))
+    # Entities are searched anew in these texts, which are a part of all, so that no texts are shuffled.
+    holding = spans.found(holding, "text", RULES).withColumn("found", F.concat(*[F.col(f"_{kind}") for kind in KINDS]))
+    holding = holding.withColumn("masked", plain(_masked()))
     # The text's own terms alone are looked for; they are nothing but letters.
-    own = F.array_join(F.transform("held", lambda h: h["term"]), "|")
-    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), own, F.lit(r")(?!\p{L})"))
-    placed = placed.withColumns({"_values": F.regexp_extract_all("masked", pattern, F.lit(0)), "_gaps": F.split("masked", pattern, -1)})
+    terms = F.array_join(F.transform("held", lambda h: h["term"]), "|")
+    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), terms, F.lit(r")(?!\p{L})"))
+    placed = holding.withColumns({"_values": F.regexp_extract_all("masked", pattern, F.lit(0)), "_gaps": F.split("masked", pattern, -1)})
     alone = F.map_from_entries("held")
     found_terms = spans.placed("term", F.slice("_gaps", F.lit(1), F.size("_values")), F.col("_values"))
     marks = F.transform(found_terms, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), alone[t["value"]].alias("alone")))
-    placed = placed.select("doc_id", "digest", "text", marks.alias("terms"))
-    entities = entities.select("_doc_id", "_digest", F.col("text").alias("_text"), "found")
-    both = placed.join(entities, match, "full")
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,alone:boolean>>")
-    return both.select(
-        F.coalesce("doc_id", "_doc_id").alias("doc_id"),
-        F.coalesce("text", "_text").alias("text"),
-        F.coalesce("found", spans.none()).alias("found"),
-        F.coalesce("terms", empty).alias("terms"),
-    )
+    bare = F.transform("found", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
+    marked = written(placed.select("doc_id", "digest", bare.alias("found"), marks.alias("terms")).dropDuplicates(["doc_id", "digest"]))
+    done = marked.select(F.col("doc_id").alias("_doc_id"), F.col("digest").alias("_digest"))
+    match = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("digest") == F.col("_digest"))
+    others = found.select("doc_id", "digest", bare.alias("found")).dropDuplicates(["doc_id", "digest"]).join(done, match, "left_anti")
+    none = F.array().cast("array<struct<start:bigint,end:bigint,alone:boolean>>")
+    return marked.unionByName(others.withColumn("terms", none))
 
 
 def report(docs: DataFrame, reach: int | None = None, threshold: float = THRESHOLD, smoothing: float = SMOOTHING) -> DataFrame:
     """Counts per kind, digest of the plain patterns' spans, and all spans as text, for every row."""
-    named = detect(docs, reach, threshold, smoothing)
     terms = F.transform(
         "terms", lambda t: F.struct(F.lit("term").alias("kind"), t["start"].alias("start"), t["end"].alias("end"))
     )
-    bare = F.transform("found", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    found = named.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), bare.alias("found"), terms.alias("terms"))
+    found = detect(docs, reach, threshold, smoothing).withColumn("terms", terms)
     # Repeated rows have the same spans.
-    found = found.dropDuplicates(["doc_id", "digest"]).withColumnsRenamed({"doc_id": "_doc_id", "digest": "_digest"})
+    found = found.withColumnsRenamed({"doc_id": "_doc_id", "digest": "_digest"})
     texts = docs.select("doc_id", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("digest"))
     match = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("digest") == F.col("_digest"))
     empty = F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>")
@@ -328,13 +334,12 @@ def sanitised(docs: DataFrame, reach: int | None = None, threshold: float = THRE
             t["start"].alias("start"), t["end"].alias("end"), F.when(t["alone"], "").otherwise(PLACEHOLDERS["term"]).alias("by")
         ),
     )
-    changes = F.array_sort(F.concat(entity, term))
-    text = _replaced(changes, lambda change, at: F.when(change["start"] < at, "").otherwise(change["by"]))
-    clean = named.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), text.alias("_clean"))
-    clean = clean.dropDuplicates(["doc_id", "digest"]).withColumnsRenamed({"doc_id": "_doc_id", "digest": "_digest"})
+    named = named.select(F.col("doc_id").alias("_doc_id"), F.col("digest").alias("_digest"), F.array_sort(F.concat(entity, term)).alias("_changes"))
     keyed = docs.withColumn("_own", F.md5(F.col("text").cast("binary")))
     match = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_own") == F.col("_digest"))
-    joined = keyed.join(clean, match, "left").withColumn("text", F.coalesce("_clean", "text"))
+    joined = keyed.join(named, match, "left")
+    text = _replaced(F.col("_changes"), lambda change, at: F.when(change["start"] < at, "").otherwise(change["by"]))
+    joined = joined.withColumn("text", F.when(F.col("_changes").isNotNull(), text).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return joined.select(*docs.columns)
