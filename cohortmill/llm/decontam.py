@@ -16,7 +16,8 @@ Words: A-Z in lower case, runs of letters, digits and code points from U+0080 on
 
 Defined results: null and empty texts have no words, and an item without words hits nothing. Items with a
 null id are listed as ``null``; items with one id are one item. Repeated documents are each reported.
-An empty benchmark hits nothing, and an empty document table gives an empty result.
+An empty benchmark hits nothing, and an empty document table gives an empty result. Very long texts are streamed
+whole. Reports read doc_id and text alone; ``decontaminate`` keeps the columns of documents and leaves others out.
 """
 
 from __future__ import annotations

@@ -26,7 +26,8 @@ shares no bucket with a chance of 7 in 100,000.
 Words: Unicode lower case, cut at white space. A text of fewer than five words is one shingle.
 
 Defined results: a null text is a class of its own, and so is a text without words, but for its exact copies.
-Classes are named after their least doc_id, null ids last; repeated rows are copies. An empty table gives an
+Classes are named after their least doc_id, null ids last; repeated rows are copies. Very long texts are shingled whole, a
+block of their own if need be. Only doc_id and text are read; ``deduplicated`` keeps the columns of documents and leaves others out. An empty table gives an
 empty result.
 """
 
