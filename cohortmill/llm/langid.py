@@ -20,11 +20,10 @@ are parsed whole; columns of other names are left alone.
 from __future__ import annotations
 
 import math
-import re
-import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,9 +33,7 @@ from cohortmill.llm.common import documents_only
 SAMPLE_CHARS = 30_000
 SLICE_CHARS = 2_000
 UNKNOWN = "und"
-# What is alphanumeric but neither a decimal digit nor a letter: superscripts, fractions, Roman numerals and such.
-NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-OTHER = re.compile(rf"[\W\d_{NUMBERS}]+")
+OTHER = regex.compile(r"\P{L}+")
 
 
 def letters(text: str) -> str:
