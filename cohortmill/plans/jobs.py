@@ -119,10 +119,11 @@ def run_margin_curve(
     target: str,
     curve_start: dt.date = CURVE_START,
     period: Period | None = None,
+    flagged: bool = False,
 ):
-    """Compute the margin share curve of a run, with a flag for fits at a limit, and replace its partition."""
+    """Compute the margin share curve of a run and replace its partition; ``flagged`` adds a column for fits at a limit."""
     windows = run_windows(mode, t, period)
-    shares = curve.margin_share(profit_rows(base), curve.curve_days(windows.curve.hi, curve_start), flagged=True)
+    shares = curve.margin_share(profit_rows(base), curve.curve_days(windows.curve.hi, curve_start), flagged=flagged)
     _put(shares, target, mode, windows)
 
 
