@@ -368,7 +368,7 @@ def ledger_three_runs(spark, sf):
     """Three runs by day, each with what the earlier ones left open: all rows at the end, and every run's overdraft."""
     income, payout = _ledger(spark, sf)
     runs = LedgerRuns(spark, new_path(spark, "ledger"))
-    edges = [F.lit(dt.date(1, 1, 1)), *[F.lit(day) for day in THREE_RUNS], F.lit(dt.date(9999, 1, 1))]
+    edges = [F.lit(dt.date(1900, 1, 1)), *[F.lit(day) for day in THREE_RUNS], F.lit(dt.date(9999, 1, 1))]
     for number, (first, last) in enumerate(zip(edges, edges[1:]), start=1):
         own = (F.col("ds") >= first) & (F.col("ds") < last)
         runs.run(number, income.where(own), payout.where(own))

@@ -28,6 +28,8 @@ CHAIN_ENDS = [
     "ledger_full_scope",
     "ledger_overdraft",
     "ledger_resume",
+    "ledger_three_runs",
+    "sink_round_trip",
 ]
 CHOSEN = sorted(QUERIES) if os.environ.get("CHECK_ALL") else CHAIN_ENDS
 
