@@ -41,7 +41,8 @@ LEAST = 100
 TOP = 2000
 BITS = 23
 SHARD_WORDS = 2_000_000
-SLICES = 16
+#: Parts that a sketch is cut into, so that its sums are dealt to many tasks.
+SLICES = 1024
 #: Rows of a batch given back to Spark.
 ROWS = 50_000
 UNKNOWN = "und"
@@ -158,8 +159,9 @@ def sketch(docs: DataFrame, least: int, bits: int, shard_words: int, pairs: byte
     """One bit a bucket: whether its words and pairs together occur ``least`` times; with ``pairs``, the flags of a first
     sketch, whether its longer runs do. Counts stop at ``least``, which keeps sums true."""
     size = 1 << bits
-    if size < 8 * SLICES:
-        raise ValueError("the sketch has a byte of flags for each slice at least: seven bits or more")
+    if size < 64:
+        raise ValueError("a sketch has six bits or more")
+    slices = min(SLICES, size // 64)
     if not 0 < least < 1 << 15:
         return bytes([255]) * (size // 8)
     kind = np.uint8 if least < 1 << 8 else np.uint16
@@ -182,7 +184,7 @@ def sketch(docs: DataFrame, least: int, bits: int, shard_words: int, pairs: byte
                 counts += np.bincount(np.concatenate(buckets), minlength=size).astype(np.int32)
             np.minimum(counts, least, out=counts)
         if counts.any():
-            yield packed(dict(enumerate(counts.astype(kind).reshape(SLICES, -1))))
+            yield packed(dict(enumerate(counts.astype(kind).reshape(slices, -1))))
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -194,9 +196,9 @@ def sketch(docs: DataFrame, least: int, bits: int, shard_words: int, pairs: byte
             yield packed({part: np.packbits(counts >= least) for part, counts in sorted(sums.items())})
 
     schema = "slice int, counts binary"
-    flagged = _texts(docs).mapInArrow(count, schema).repartition(SLICES, "slice").mapInArrow(flag, schema).collect()
+    flagged = _texts(docs).mapInArrow(count, schema).repartition("slice").mapInArrow(flag, schema).collect()
     found = {row.slice: bytes(row.counts) for row in flagged}
-    return b"".join(found.get(part, bytes(size // 8 // SLICES)) for part in range(SLICES))
+    return b"".join(found.get(part, bytes(size // 8 // slices)) for part in range(slices))
 
 
 def runs_of(shard: Shard, pairs: np.ndarray, longer: np.ndarray) -> tuple[list[bytes], np.ndarray]:
