@@ -75,8 +75,15 @@ def transitions(text: str) -> dict:
     return states[0]
 
 
-def phrases(text: str, root: dict) -> int:
-    """Number of phrases of the greedy parse: longest runs known to the automaton, or single unknown characters."""
+#: Characters by which languages are put in the order that they parse a text in, and bits behind the best one that make
+#: a language's share of the likelihood nothing.
+FIRST_LOOK = 200
+FAR_BEHIND = 1000.0
+
+
+def phrases(text: str, root: dict, most: float = math.inf) -> int:
+    """Number of phrases of the greedy parse: longest runs known to the automaton, or single unknown characters. The parse ends early
+    with any number above ``most`` once there are more."""
     count = 1 if text else 0
     state = root
     first = root.get
@@ -86,6 +93,8 @@ def phrases(text: str, root: dict) -> int:
             # The phrase ended before this character (if it had begun); the next one starts with it.
             if state is not root:
                 count += 1
+                if count > most:
+                    return count
                 following = first(character)
             if following is None:
                 count += 1
@@ -107,10 +116,16 @@ class Languages:
         text = letters(text or "")
         if not self.names or not text.strip():
             return UNKNOWN, 0.0, 0.0
-        counts = [phrases(text, root) for root in self.roots]
-        costs = [count * bits for count, bits in zip(counts, self.bits, strict=True)]
+        # The likely language first: a parse that falls far behind the best one so far needs no end, as all such get one share.
+        start = [phrases(text[:FIRST_LOOK], root) * bits for root, bits in zip(self.roots, self.bits, strict=True)]
+        counts, costs, least = [0] * len(start), [0.0] * len(start), math.inf
+        for at in sorted(range(len(start)), key=start.__getitem__):
+            most = (least + FAR_BEHIND) / self.bits[at] + 2
+            counts[at] = phrases(text, self.roots[at], most)
+            costs[at] = counts[at] * self.bits[at]
+            least = min(least, costs[at])
         best = min(range(len(costs)), key=costs.__getitem__)
-        score = 1.0 / sum(2.0 ** max(-1000.0, costs[best] - cost) for cost in costs)
+        score = 1.0 / sum(2.0 ** max(-FAR_BEHIND, costs[best] - cost) for cost in costs)
         return self.names[best], score, len(text) / max(1, counts[best])
 
 

@@ -137,3 +137,16 @@ def test_keys_alone_decide_and_shards_are_written(make, tmp_path):
         sharding.write_shards(back, str(tmp_path / "again"), 8)
     sharding.write_shards(back, str(tmp_path / "again"), 8, name="part")
     assert {r.doc_id: (r.shard, r.part) for r in spark.read.parquet(str(tmp_path / "again")).collect()} == {k: (v, v) for k, v in placed.items()}
+
+
+def test_parses_that_end_early_change_nothing():
+    rng = random.Random(4)
+    sample = {name: " ".join("".join(rng.choices(chars, k=rng.randint(2, 6))) for _ in range(400)) for name, chars in (("aa", "abcd"), ("bb", "abce"), ("cc", "xyza"))}
+    languages = langid.Languages(sample)
+    for _ in range(60):
+        text = " ".join("".join(rng.choices(rng.choice(["abcd", "abce", "xyza", "abxy"]), k=rng.randint(1, 7))) for _ in range(rng.choice([1, 5, 60, 900])))
+        costs = [langid.phrases(langid.letters(text), root) * bits for root, bits in zip(languages.roots, languages.bits)]
+        best = min(range(3), key=costs.__getitem__)
+        name, score, _ = languages.judge(text)
+        assert name == languages.names[best]
+        assert score == 1.0 / sum(2.0 ** max(-1000.0, costs[best] - cost) for cost in costs)
