@@ -16,6 +16,8 @@ LINE_TYPES = ["e_supplier_profit", "ad_profit", "licai_order_profit"]
 FIRST_DAY = dt.date(2000, 1, 1)
 # A power of two: sums of multiples of 1 / PROFIT_SCALE are exact in a double, whatever their order.
 PROFIT_SCALE = float(2**23)
+# Lines and orders that one task sums up: nearly every one is a group of its own, so what a task holds grows with its rows.
+ROWS_A_TASK = 250_000
 # Slots of an amount: 0 to 35 are the months, then these.
 D07, IS_PROFIT, REG = 36, 37, 38
 
@@ -43,11 +45,19 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _line_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Number of tasks that sum up lines and orders: as many as their rows need, so that no task's memory grows with them."""
+    return sum(_read(spark, sf_dir, name).count() for name in ("lineitem", "orders")) // ROWS_A_TASK + 1
+
+
+def _line_amounts(spark: SparkSession, sf_dir: str, tasks: int) -> DataFrame:
     """Amounts per (order, type, lag) as ``(slot, amount)`` rows, in integer units.
 
     Pre-aggregated before the join by order, so an order with very many lines stays harmless. All of the
     seven-day profit has lag 0, so the lag-0 row of an order decides whether it is profitable.
+
+    Lines are dealt to their groups' tasks before any are summed: sums of what a task reads first would hardly be
+    fewer than its lines, and take memory by the size of a file's pieces.
     """
     lines = _read(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey AS o_orderkey",
@@ -56,7 +66,8 @@ def _line_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber",
         "cast(round(l_extendedprice * 100) as bigint) * cast(round((1 - l_discount) * 100) as bigint) AS units",
     )
-    sums = lines.groupBy("o_orderkey", "type", "lag").agg(
+    group = ["o_orderkey", "type", "lag"]
+    sums = lines.repartition(tasks, *group).groupBy(*group).agg(
         F.expr("sum(units) AS units"),
         F.expr("coalesce(sum(CASE WHEN lag = 0 AND l_linenumber <= 2 THEN units END), 0) AS d07"),
     )
@@ -93,13 +104,16 @@ def _registrants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _profits_by(spark: SparkSession, sf_dir: str, keys: list[str], labels: dict[str, str]) -> DataFrame:
     """Measures per (type, day, keys) from the slots; a query sums only the measures it uses.
 
-    Every registrant counts once per profit type, with or without lines of that type.
+    Every registrant counts once per profit type, with or without lines of that type. Orders are dealt to a
+    number of tasks that follows their rows, not their bytes: a group of the sums holds many labels.
     """
+    tasks = _tasks(spark, sf_dir)
     registrants = _registrants(spark, sf_dir)
-    counted = registrants.selectExpr(
+    counted = registrants.repartition(tasks, "ds", *keys).selectExpr(
         "ds", *keys, f"explode(array({', '.join(map(repr, LINE_TYPES))})) AS type", f"{REG} AS slot", "1L AS amount"
     )
-    earned = registrants.join(_line_amounts(spark, sf_dir), "o_orderkey").select(*counted.columns)
+    sides = [side.repartition(tasks, "o_orderkey") for side in (registrants, _line_amounts(spark, sf_dir, tasks))]
+    earned = sides[0].join(sides[1], "o_orderkey").select(*counted.columns)
 
     def units(condition: str) -> str:
         return f"coalesce(sum(CASE WHEN {condition} THEN amount END), 0L)"
